@@ -109,7 +109,7 @@ SELECT '{C.DWD_ORDER}' AS topic, CAST(NULL AS VARCHAR) AS key, o_orderkey AS id,
        CAST(o_totalprice AS DECIMAL(18,2)) AS amount, strftime(o_orderdate, '%Y%m%d') AS bill_date, '' AS trade_no,
        CAST(ts AS VARCHAR) AS ts FROM order_log""")
 def cdc_fact_records(spark, sf_dir):
-    records = cdc.fact_records(cdc.fact_changes(classified(spark, sf_dir)))
+    records = cdc.fact_records(classified(spark, sf_dir))
     data = parse.parse_json(records, C.ORDER_SCHEMA, number_default=None, keep=["topic", "key"])
     return data.select("topic", "key", "id", "mid", "amount", "bill_date", "trade_no", "ts")
 
@@ -118,7 +118,7 @@ def cdc_fact_records(spark, sf_dir):
 SELECT '{C.DWD_DIM}' AS topic, 'sales' || tbl AS key, tbl AS "table", type, ts, xid, pk_col, phoenix_tbl_name, sink_topic
 FROM changes JOIN conf USING (tbl) WHERE kind = 'dim'""")
 def cdc_dim_records(spark, sf_dir):
-    records = cdc.dim_records(cdc.dim_changes(classified(spark, sf_dir)))
+    records = cdc.dim_records(classified(spark, sf_dir))
     texts = [T.StructField(n, T.StringType()) for n in ("table", "type", "pk_col", "phoenix_tbl_name", "sink_topic")]
     longs = [T.StructField(n, T.LongType()) for n in ("ts", "xid")]
     return parse.parse_json(records, T.StructType(texts + longs), number_default=None, keep=["topic", "key"])

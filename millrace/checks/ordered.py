@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..operators import windows
+from ..operators import enrich_rows, windows
 from .registry import check, load
 
 _ORDER = ["ts", "event_id"]
@@ -71,3 +71,14 @@ def late_data_drop(spark, sf_dir):
         "event_id", "ts", ms.alias("ms"), (ms + F.pmod(F.col("event_id") * 7919, F.lit(10)) * 3600000).alias("arrival")
     )
     return windows.mark_late(arrived, "ts", ["arrival", "event_id"], 3600000, 10800000).select("event_id", "ms", "late")
+
+
+def _grade(frame: pd.DataFrame, edges: list[float]) -> pd.DataFrame:
+    grades = pd.Series(edges).searchsorted(frame["value"], side="right")
+    return pd.DataFrame({"event_id": frame["event_id"], "grade": grades.astype("int64")})
+
+
+@check("""SELECT event_id, CAST((value >= 10)::INT + (value >= 20)::INT + (value >= 40)::INT AS BIGINT) AS grade FROM events""")
+def enrich_with_resource(spark, sf_dir):
+    events = load(spark, sf_dir, "events").select("event_id", "value")
+    return enrich_rows(events, _grade, "event_id long, grade long", open_resource=lambda: [10.0, 20.0, 40.0])

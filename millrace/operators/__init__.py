@@ -2,8 +2,9 @@
 
 from .cdc import (
     classify, configured_only, dim_changes, dim_records, dim_rows, fact_changes, fact_records, flat_records,
-    latest_dim_rows, parse_changes, wanted_ops,
+    latest_dim_rows, parse_changes, records, wanted_kinds, wanted_ops,
 )
+from .custom import enrich_rows
 from .geo import PointIndex, micro_degrees, nearest_point, reverse_geocode
 from .joins import fits_broadcast, hot_keys, measured_bytes, sized_join
 from .latest import latest_by_key

@@ -48,35 +48,46 @@ def classify(changes: DataFrame, config: DataFrame, **options) -> DataFrame:
     return joined.withColumn("kind", F.when(F.col("tbl_type") == "dim", F.lit("dim")).otherwise(F.lit("fact")))
 
 
+def wanted_kinds(classified: DataFrame, fact_ops: Collection[str] | None = None) -> DataFrame:
+    """Dimensions, and those facts whose change type is in ``fact_ops``; all facts, deletes included, without it."""
+    if fact_ops is None:
+        return classified
+    return classified.filter((F.col("kind") == "dim") | F.col("type").isin(*fact_ops))
+
+
 def fact_changes(classified: DataFrame, fact_ops: Collection[str] | None = None) -> DataFrame:
-    """The fact part. All change types pass, deletes included, unless ``fact_ops`` lists the wanted ones."""
-    facts = classified.filter(F.col("kind") == "fact")
-    return facts if fact_ops is None else facts.filter(F.col("type").isin(*fact_ops))
+    return wanted_kinds(classified, fact_ops).filter(F.col("kind") == "fact")
 
 
 def dim_changes(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("kind") == "dim")
 
 
-def fact_records(facts: DataFrame) -> DataFrame:
-    """Records without a key: the row data with the change time put in as ``ts``, to the configured topic."""
+_DIM_FIELDS = ("pk_col", "cols", "phoenix_tbl_name", "sink_topic")
+
+
+def records(classified: DataFrame) -> DataFrame:
+    """Records for the configured topics, facts and dimensions in one pass.
+
+    A fact record has no key and holds the row data with the change time put in as ``ts``. A dimension record holds the
+    whole envelope with its configuration; its key is database and table run together.
+    """
+    is_dim = F.col("kind") == "dim"
     data = put_fields(json_fields(F.col("data")), ts=F.col("ts"))
-    return facts.select(
-        F.lit(None).cast("string").alias("key"),
-        F.to_json(without_nulls(data)).alias("value"),
+    envelope = put_fields(json_fields(F.col("value")), **{n: F.col(n) for n in _DIM_FIELDS})
+    return classified.select(
+        F.when(is_dim, F.concat("database", "table")).alias("key"),
+        F.to_json(without_nulls(F.when(is_dim, envelope).otherwise(data))).alias("value"),
         F.col("sink_topic").alias("topic"),
     )
 
 
-def dim_records(dims: DataFrame) -> DataFrame:
-    """Records with the whole envelope and its configuration; the key is database and table run together."""
-    names = ("pk_col", "cols", "phoenix_tbl_name", "sink_topic")
-    envelope = put_fields(json_fields(F.col("value")), **{n: F.col(n) for n in names})
-    return dims.select(
-        F.concat("database", "table").alias("key"),
-        F.to_json(without_nulls(envelope)).alias("value"),
-        F.col("sink_topic").alias("topic"),
-    )
+def fact_records(classified: DataFrame, fact_ops: Collection[str] | None = None) -> DataFrame:
+    return records(fact_changes(classified, fact_ops))
+
+
+def dim_records(classified: DataFrame) -> DataFrame:
+    return records(dim_changes(classified))
 
 
 def flat_records(classified: DataFrame) -> DataFrame:
@@ -102,16 +113,16 @@ def column_names(pk: str, cols: str) -> list[str]:
 
 
 def dim_rows(changes: DataFrame, table: str, pk: str, cols: str) -> DataFrame:
-    """Cleansed rows for one dimension table, all text, key first, plus the columns that order the changes."""
+    """Rows for one dimension table as they came, all text, with the columns that order the changes."""
     names = column_names(pk, cols)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     mine = wanted_ops(changes).filter(F.col("phoenix_tbl_name") == table)
     order = [F.col(c).alias(f"_{c}") for c in CHANGE_ORDER]
-    rows = mine.select(F.from_json("data", schema).alias("_data"), *order).select("_data.*", *[f"_{c}" for c in CHANGE_ORDER])
-    return cleanse(rows, table).filter(F.col(pk).isNotNull())
+    return parse_json(mine, schema, "data", keep=order).filter(F.col(pk).isNotNull())
 
 
 def latest_dim_rows(changes: DataFrame, table: str, pk: str, cols: str) -> DataFrame:
-    """The last version of every key among ``changes``."""
+    """The last version of every key among ``changes``, cleansed."""
     order = [f"_{c}" for c in CHANGE_ORDER]
-    return latest_by_key(dim_rows(changes, table, pk, cols), [pk], order).drop(*order)
+    latest = latest_by_key(dim_rows(changes, table, pk, cols), [pk], order)
+    return cleanse(latest, table).select(column_names(pk, cols))

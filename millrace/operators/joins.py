@@ -70,6 +70,7 @@ def sized_join(
     how: str = "left",
     *,
     small: bool | None = None,
+    skewed: bool = True,
     broadcast_bytes: int | None = None,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
@@ -78,7 +79,8 @@ def sized_join(
 
     A right side that is measured to be small is broadcast. Otherwise the join shuffles, but left rows with a hot or
     null key stay where they are: their few right rows are broadcast. ``small`` skips the measurement when the caller
-    already knows.
+    already knows, and ``skewed=False`` the search for hot keys when a left key has a bounded number of rows. A stream
+    can be searched only inside foreachBatch; as a plain streaming left side it is joined as it is.
     """
     if how not in _JOIN_TYPES:
         raise ValueError(f"how must be one of {_JOIN_TYPES}")
@@ -87,6 +89,8 @@ def sized_join(
         small = fits_broadcast(right, broadcast_bytes)
     if small:
         return left.join(F.broadcast(right), on, how)
+    if left.isStreaming or not skewed:
+        return left.join(right, on, how)
 
     hot, many_nulls = hot_keys(left, on, share, min_rows)
     if not hot and not many_nulls:

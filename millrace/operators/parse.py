@@ -25,7 +25,8 @@ def parse_json(
     """
     fields = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    parsed = df.withColumn("_json", F.from_json(column, fields, options))
+    # Filters are not moved below an explode, so a filter on a parsed field does not parse the text a second time.
+    parsed = df.withColumn("_json", F.explode(F.array(F.from_json(column, fields, options))))
 
     def read(field: T.StructField) -> Column:
         value = F.col("_json")[field.name]

@@ -78,13 +78,14 @@ def arrival_positions(df: DataFrame, order: Sequence[str], keys: Sequence[str] =
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
         F.sum("_n").over(of_key).alias("_total"),
     )
-    placed = sized_join(marked, starts, ["_key", "_part"], "inner")
+    # Without keys that is one row per partition of the stored table. A left key has at most one partition's rows.
+    placed = sized_join(marked, starts, ["_key", "_part"], "inner", small=None if keys else True, skewed=False)
     return placed.select(*df.columns, (F.col("_pos") + F.col("_shift")).alias("_seq"), "_total")
 
 
 def full_and_rest(placed: DataFrame, n: int, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Split ranked rows into those of full windows and those after the last full window."""
-    number = F.floor(F.col("_seq") / n).cast("bigint")
+    number = F.expr(f"_seq div {int(n)}")
     is_full = (number + 1) * n <= F.col("_total")
     full = placed.filter(is_full).select(
         *columns, number.alias("window_no"), F.pmod("_seq", F.lit(n)).cast("int").alias("window_pos")
@@ -128,14 +129,14 @@ def mark_late(df: DataFrame, ts: str, order: Sequence[str], size_ms: int, delay_
     millis = F.unix_millis(F.col(ts))
     stored = _in_order(df.withColumn("_ms", millis), order, "arrivals").withColumn("_part", _part())
     peaks = stored.groupBy("_part").agg(F.max("_ms").alias("_peak"))
-    # One row per partition of the stored table.
+    # One row per partition of the stored table, here and in the broadcast below.
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carried = peaks.select("_part", F.max("_peak").over(earlier).alias("_carried"))
     within = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     seen = F.greatest(F.max("_ms").over(within), F.col("_carried"))
     last_ms = F.col("_ms") - F.pmod("_ms", F.lit(size_ms)) + size_ms - 1
     late = F.coalesce(last_ms <= seen - delay_ms, F.lit(False))
-    return sized_join(stored, carried, ["_part"], "inner").select(*df.columns, late.alias("late"))
+    return sized_join(stored, carried, ["_part"], "inner", small=True).select(*df.columns, late.alias("late"))
 
 
 def late_rows(df: DataFrame, ts: str, order: Sequence[str], size_ms: int, delay_ms: int) -> DataFrame:

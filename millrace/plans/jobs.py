@@ -41,12 +41,8 @@ def cdc_to_dwd(
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         matched = cdc.classify(cdc.parse_changes(batch), load_config(spark))
-        if flat:
-            records = cdc.flat_records(matched)
-        else:
-            facts = cdc.fact_records(cdc.fact_changes(matched, fact_ops))
-            records = facts.unionByName(cdc.dim_records(cdc.dim_changes(matched)))
-        sink.write_batch(records, name, batch_id)
+        wanted = cdc.wanted_kinds(matched, fact_ops)
+        sink.write_batch(cdc.flat_records(wanted) if flat else cdc.records(wanted), name, batch_id)
 
     return _each_batch(source, work, checkpoint, every)
 

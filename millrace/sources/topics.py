@@ -83,3 +83,21 @@ class FolderTopics:
 
     def write_batch(self, records: DataFrame, name: str, batch_id: int) -> None:
         write_batch_once(records.select("key", "value", "topic"), self.path(name), batch_id, ["topic"])
+
+
+@dataclass(frozen=True)
+class ConsoleTopics:
+    """Shows records instead of storing them, for debugging."""
+
+    prefix: str = ""
+    rows: int = 20
+
+    def write_stream(self, records: DataFrame, name: str, checkpoint: str):
+        return (
+            records.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda batch, batch_id: self.write_batch(batch, name, batch_id))
+        )
+
+    def write_batch(self, records: DataFrame, name: str, batch_id: int) -> None:
+        print(f"{self.prefix}{name} batch {batch_id}")
+        records.show(self.rows, truncate=False)

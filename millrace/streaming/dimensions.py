@@ -73,7 +73,7 @@ class DimensionStore:
             names = column_names(pk, cols)
             # A column that the configuration gained since is null in older rows.
             old = old.select(*[(F.col(c) if c in old.columns else F.lit(None).cast("string")).alias(c) for c in names])
-            merged = sized_join(old, fresh.select(pk), [pk], "left_anti").unionByName(fresh)
+            merged = sized_join(old, fresh.select(pk), [pk], "left_anti", skewed=False).unionByName(fresh)
         else:
             merged = fresh
         write_batch_once(merged, self.path(table), batch_id)
