@@ -59,6 +59,9 @@ def hot_keys(
         watched.filter(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         .orderBy(F.desc("_n")).limit(math.ceil(1 / share)).collect()
     )
+    if not top:
+        # No row, or none with a key; an empty plan may have been cut down to nothing, counters included.
+        return [], df.filter(_any_null(keys)).count() > min_rows
     floor = max(min_rows, share * seen.get["rows"])
     return [tuple(row)[:-1] for row in top if row["_n"] > floor], seen.get["nulls"] > floor
 

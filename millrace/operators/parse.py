@@ -34,7 +34,8 @@ def parse_json(
             value = F.coalesce(value, F.lit(number_default).cast(field.dataType))
         return value.alias(field.name)
 
-    extra = [F.col("_json")[_BAD].alias(malformed)] if malformed else []
+    bad = F.col("_json").isNull() | F.col("_json")[_BAD].isNotNull()
+    extra = [F.when(bad, F.col(column)).alias(malformed)] if malformed else []
     return parsed.select(*keep, *[read(f) for f in schema.fields], *extra)
 
 
