@@ -28,6 +28,8 @@ class SharedFiles:
 
     def rename(self, source: str, target: str) -> None:
         fs, src = self._open(source)
+        if not fs.exists(src):
+            raise FileNotFoundError(source)
         dst = self._jvm.org.apache.hadoop.fs.Path(target)
         fs.mkdirs(dst.getParent())
         if not fs.rename(src, dst):

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..constants import RECORD_SCHEMA
 from ..streaming.once import write_batch_once
 
+_STORED_SCHEMA = T.StructType([*RECORD_SCHEMA.fields, T.StructField("batch", T.LongType())])
+
 
 @dataclass(frozen=True)
 class KafkaTopics:
@@ -66,13 +68,13 @@ class FolderTopics:
         return f"{self.root.rstrip('/')}/{name}"
 
     def read_stream(self, spark: SparkSession, topic: str, writer: str | None = None) -> DataFrame:
-        reader = spark.readStream.schema(RECORD_SCHEMA.add("batch", "long"))
+        reader = spark.readStream.schema(_STORED_SCHEMA)
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
         return reader.parquet(self.path(writer or topic)).filter(F.col("topic") == topic)
 
     def read(self, spark: SparkSession, topic: str, writer: str | None = None) -> DataFrame:
-        records = spark.read.schema(RECORD_SCHEMA.add("batch", "long")).parquet(self.path(writer or topic))
+        records = spark.read.schema(_STORED_SCHEMA).parquet(self.path(writer or topic))
         return records.filter(F.col("topic") == topic)
 
     def write_stream(self, records: DataFrame, name: str, checkpoint: str):
