@@ -8,15 +8,16 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import constants as C
 from ..functions.cleansing import cleanse
-from .joins import sized_join
+from .joins import fits_broadcast, sized_join
 from .latest import latest_by_key
-from .parse import json_fields, parse_json, put_fields, without_nulls
+from .parse import parse_json, put_fields
 
 ENVELOPE = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("database", "table", "type", "data")]
     + [T.StructField(n, T.LongType()) for n in ("ts", "xid", "xoffset")]
 )
 CONFIG_KEY = ["database", "table"]
+_DIM_FIELDS = ("pk_col", "cols", "phoenix_tbl_name", "sink_topic")
 CHANGE_ORDER = ("ts", "xid", "xoffset")
 
 
@@ -37,14 +38,19 @@ def by_source_table(config: DataFrame) -> DataFrame:
     return latest_by_key(named, CONFIG_KEY, ["sink_topic"])
 
 
-def configured_only(changes: DataFrame, config: DataFrame, **options) -> DataFrame:
+def _config_join(changes: DataFrame, config: DataFrame, columns: Collection[str], how: str) -> DataFrame:
+    side = by_source_table(config).select(*CONFIG_KEY, *columns)
+    return sized_join(changes, side, CONFIG_KEY, how, small=fits_broadcast(config))
+
+
+def configured_only(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Changes of configured tables; everything else is dropped."""
-    return sized_join(changes, by_source_table(config).select(*CONFIG_KEY), CONFIG_KEY, "left_semi", **options)
+    return _config_join(changes, config, [], "left_semi")
 
 
-def classify(changes: DataFrame, config: DataFrame, **options) -> DataFrame:
+def classify(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Changes of configured tables with their configuration and ``kind``: "dim" or "fact"."""
-    joined = sized_join(changes, by_source_table(config), CONFIG_KEY, "inner", **options)
+    joined = _config_join(changes, config, ["tbl_type", *_DIM_FIELDS], "inner")
     return joined.withColumn("kind", F.when(F.col("tbl_type") == "dim", F.lit("dim")).otherwise(F.lit("fact")))
 
 
@@ -63,9 +69,6 @@ def dim_changes(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("kind") == "dim")
 
 
-_DIM_FIELDS = ("pk_col", "cols", "phoenix_tbl_name", "sink_topic")
-
-
 def records(classified: DataFrame) -> DataFrame:
     """Records for the configured topics, facts and dimensions in one pass.
 
@@ -73,11 +76,11 @@ def records(classified: DataFrame) -> DataFrame:
     whole envelope with its configuration; its key is database and table run together.
     """
     is_dim = F.col("kind") == "dim"
-    data = put_fields(json_fields(F.col("data")), ts=F.col("ts"))
-    envelope = put_fields(json_fields(F.col("value")), **{n: F.col(n) for n in _DIM_FIELDS})
+    data = put_fields(F.col("data"), ts=F.col("ts"))
+    envelope = put_fields(F.col("value"), **{n: F.col(n) for n in _DIM_FIELDS})
     return classified.select(
         F.when(is_dim, F.concat("database", "table")).alias("key"),
-        F.to_json(without_nulls(F.when(is_dim, envelope).otherwise(data))).alias("value"),
+        F.when(is_dim, envelope).otherwise(data).alias("value"),
         F.col("sink_topic").alias("topic"),
     )
 
@@ -93,13 +96,13 @@ def dim_records(classified: DataFrame) -> DataFrame:
 def flat_records(classified: DataFrame) -> DataFrame:
     """Records of facts and dimensions alike: the row data plus change time, type and configuration, flattened."""
     data = put_fields(
-        json_fields(F.col("data")),
+        F.col("data"),
         ts=F.col("ts"), type=F.col("type"), pk_col=F.col("pk_col"), cols=F.col("cols"),
         phoenix_table_name=F.col("phoenix_tbl_name"), sink_topic=F.col("sink_topic"),
     )
     return classified.select(
         F.lit(None).cast("string").alias("key"),
-        F.to_json(without_nulls(data)).alias("value"),
+        data.alias("value"),
         F.col("sink_topic").alias("topic"),
     )
 

@@ -16,11 +16,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import check_string
 from ..session import materialize
-from .joins import fits_broadcast, sized_join
+from .joins import BROADCAST_BYTES, fits_broadcast, sized_join
 
 PLACE_COLUMNS = ("province", "city", "district", "address")
 # Points that are held together in one array.
 POINTS_PER_ROW = 256
+_POINT_BYTES, _ROW_BYTES = 48, 96
 _CELL = ["_cx", "_cy"]
 
 
@@ -38,8 +39,8 @@ def _distinct_points(geo: DataFrame) -> DataFrame:
     return geo.groupBy("lng_e6", "lat_e6").agg(F.min("geo_id").alias("geo_id"))
 
 
-def _candidates(points: DataFrame, cell: int) -> tuple[DataFrame, int]:
-    """Arrays of points by the cell they are searched from, and the number of arrays a cell may have.
+def _candidates(points: DataFrame, cell: int) -> tuple[DataFrame, int, int]:
+    """Arrays of points by the cell they are searched from, the number of arrays a cell may have, and all their bytes.
 
     A crowded cell is spread over several rows so that no array grows with the data.
     """
@@ -49,12 +50,14 @@ def _candidates(points: DataFrame, cell: int) -> tuple[DataFrame, int]:
         .withColumn("_cx", _cell(F.col("lng_e6"), cell) + F.col("_dx"))
         .withColumn("_cy", _cell(F.col("lat_e6"), cell) + F.col("_dy"))
     )
-    fullest = around.groupBy(*_CELL).count().agg(F.max("count")).first()[0] or 0
-    spread = math.ceil(fullest / POINTS_PER_ROW) or 1
+    per_cell = around.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_n"))
+    fullest, total, cells = per_cell.agg(F.max("_n"), F.sum("_n"), F.count(F.lit(1))).first()
+    spread = math.ceil((fullest or 0) / POINTS_PER_ROW) or 1
+    size = (total or 0) * _POINT_BYTES + cells * spread * _ROW_BYTES
     packed = around.groupBy(*_CELL, F.pmod(F.xxhash64("geo_id"), F.lit(spread)).alias("_slice")).agg(
         F.collect_list(F.struct("geo_id", "lng_e6", "lat_e6")).alias("_points")
     )
-    return packed.drop("_slice"), spread
+    return packed.drop("_slice"), spread, size
 
 
 def _nearest(lng: str, lat: str) -> Column:
@@ -105,19 +108,19 @@ class PointIndex:
         stored: bool = False,
     ) -> PointIndex:
         """``levels`` are the refinements of the grid that are tried first when the points do not fit a broadcast."""
+        limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
         keep = partial(materialize, label="points") if stored else lambda df: df
         points = _distinct_points(geo)
         places = keep(geo.select(F.col("geo_id").alias("_geo"), *[F.col(c).alias(f"_{c}") for c in PLACE_COLUMNS]))
 
         def grid(size: int) -> Grid:
-            packed, spread = _candidates(points, size)
-            packed = keep(packed)
-            return Grid(size, packed, spread, fits_broadcast(packed, broadcast_bytes))
+            packed, spread, bytes_ = _candidates(points, size)
+            return Grid(size, keep(packed), spread, bytes_ <= limit)
 
         grids = [grid(cell)]
         if not (grids[0].small and grids[0].spread == 1):
             grids = [*(grid(max(cell // factor, 1)) for factor in levels), *grids]
-        return cls(tuple(grids), places, fits_broadcast(places, broadcast_bytes))
+        return cls(tuple(grids), places, fits_broadcast(places, limit))
 
     @property
     def in_place(self) -> bool:

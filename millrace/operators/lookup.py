@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as C
 from .joins import sized_join
@@ -35,17 +35,17 @@ def lookup_join(
     fact_key, dim_key = on
     if latest:
         dim = latest_by_key(dim, [dim_key], latest)
-    same_type = df.schema[fact_key].dataType == dim.schema[dim_key].dataType
-
-    def key(column: str) -> Column:
-        return F.col(column) if same_type else F.col(column).cast("string")
-
+    if df.schema[fact_key].dataType == dim.schema[dim_key].dataType:
+        # Joining on the column itself lets a second lookup by it reuse the partitioning.
+        left, key, dim_value = df, fact_key, F.col(dim_key)
+    else:
+        left, key, dim_value = df.withColumn("_lookup", F.col(fact_key).cast("string")), "_lookup", F.col(dim_key).cast("string")
     side = dim.filter(F.col(dim_key).isNotNull()).select(
-        key(dim_key).alias("_lookup"),
+        dim_value.alias(key),
         F.lit(True).alias("_hit"),
         *[F.col(source).alias(f"_dim_{name}") for name, source in wanted.items()],
     )
-    joined = sized_join(df.withColumn("_lookup", key(fact_key)), side, ["_lookup"], how, **join_options)
+    joined = sized_join(left, side, [key], how, **join_options)
     fallback = {name: (defaults or {}).get(name, default) for name in wanted}
     added = {
         name: F.col(f"_dim_{name}") if how == "inner"
@@ -75,7 +75,9 @@ def order_wide(
 ) -> DataFrame:
     """Orders with the place and the contract of their machine. ``strict`` keeps only orders where both are known."""
     how = "inner" if strict else "left"
-    placed = lookup_join(orders, locations, ("mid", "mid"), location_columns, how=how, **options)
-    return lookup_join(
-        placed, contracts, ("mid", "machine_num"), contract_columns, C.RATE_DEFAULTS, how=how, **options
+    keyed = orders.withColumn("_mid", F.col("mid").cast("string"))
+    placed = lookup_join(keyed, locations, ("_mid", "mid"), location_columns, how=how, **options)
+    contracted = lookup_join(
+        placed, contracts, ("_mid", "machine_num"), contract_columns, C.RATE_DEFAULTS, how=how, **options
     )
+    return contracted.drop("_mid")

@@ -44,12 +44,29 @@ def json_fields(text: Column) -> Column:
     return F.from_json(text, "map<string,variant>")
 
 
-def put_fields(fields: Column, **added: Column) -> Column:
-    """Set text fields on a map of JSON values. Null values are left out."""
+def put_fields(text: Column, **added: Column) -> Column:
+    """Set text fields of a JSON object given as text; null for anything else. Null values are left out.
+
+    Usually the new fields are only appended to the text. Where a name may be there already, or a null would have to go,
+    the object is taken apart and put together again.
+    """
     names = list(added)
-    rest = F.map_filter(fields, lambda name, _: ~name.isin(names))
+    rest = F.map_filter(json_fields(text), lambda name, _: ~name.isin(names))
     pairs = F.map_from_entries(F.array(*[F.struct(F.lit(n), v.cast("string").cast("variant")) for n, v in added.items()]))
-    return F.map_concat(rest, F.map_filter(pairs, lambda _, value: value.isNotNull()))
+    rebuilt = F.map_concat(rest, F.map_filter(pairs, lambda _, value: value.isNotNull()))
+
+    rebuild = (
+        ~(text.startswith("{") & text.endswith("}")) | F.substring(text, -2, 1).isin(" ", "\t", "\r", "\n")
+        | text.contains("null") | text.contains("\\u") | F.coalesce(*[v.cast("string") for v in added.values()]).isNull()
+    )
+    for name in names:
+        rebuild = rebuild | text.contains(f'"{name}"')
+    tail = F.to_json(F.struct(*[v.cast("string").alias(n) for n, v in added.items()]))
+    appended = F.concat(
+        F.left(text, F.length(text) - 1), F.when(text == "{}", F.lit("")).otherwise(F.lit(",")),
+        F.substring(tail, F.lit(2), F.length(tail)),
+    )
+    return F.when(rebuild, F.to_json(without_nulls(rebuilt))).otherwise(appended)
 
 
 def drop_fields(fields: Column, *names: str) -> Column:

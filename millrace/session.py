@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .fs import SharedFiles
+
 # Settings a job can switch on inside a running session.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -61,6 +63,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application left in the shared folder. Nothing read from there may be in use any more."""
+    SharedFiles(spark).delete(scratch_root(spark))
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once below the shared folder and read it back.
 

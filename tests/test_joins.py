@@ -130,3 +130,15 @@ def test_latest_combines_before_the_shuffle(rows):
 def test_latest_with_columns_that_have_no_order(rows):
     df = rows([("a", 1, {"x": "1"}), ("a", 2, {"x": "2"})], "k string, ts int, m map<string,string>")
     assert latest_by_key(df, ["k"], ["ts"]).first()["m"] == {"x": "2"}
+
+
+def test_two_lookups_by_one_key_shuffle_the_facts_once(spark, rows):
+    orders = spark.range(1000).select(F.col("id"), (F.col("id") % 50).alias("mid"))
+    places = rows([("1", "p", "c")], "mid string, province string, city string")
+    contracts = rows([], "machine_num string, " + ", ".join(f"{c} string" for c in C.CONTRACT_COLUMNS))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = order_wide(orders, places, contracts, small=False)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(_mid") == 3

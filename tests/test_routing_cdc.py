@@ -180,3 +180,18 @@ def test_column_types_survive(rows):
     df = rows([("1",)], "value string").select(F.lit('{"a":12345678901234567890,"b":1e-3,"c":true}').alias("value"))
     back = df.select(F.to_json(parse.json_fields(F.col("value")))).first()[0]
     assert json.loads(back) == {"a": 12345678901234567890, "b": 0.001, "c": True}
+
+
+@pytest.mark.parametrize("value", [
+    '{"id":1}', ' {"id":1}\n', "{}", "{ \n}", '{"ts":"old","id":1}', '{"id":null}', '{"\\u0074s":"old","id":1}',
+    '{"id":"a\\"b, \\\\ null"}', '{"o":{"ts":1}}', '{"id":"}"}', "[1]", '"text"', "none", None,
+])
+@pytest.mark.parametrize("new", ['say "hi"\\', None])
+def test_put_fields(rows, value, new):
+    df = rows([(value, new)], "v string, n string")
+    got = df.select(parse.put_fields(F.col("v"), ts=F.col("n"), x=F.lit("1"))).first()[0]
+    if value is None or not value.strip().startswith("{"):
+        assert got is None
+        return
+    want = {k: v for k, v in json.loads(value).items() if k != "ts" and v is not None}
+    assert json.loads(got) == {**want, "x": "1", **({"ts": new} if new else {})}

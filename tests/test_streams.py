@@ -261,3 +261,13 @@ def test_file_names(spark, tmp_path):
     with pytest.raises(OSError):
         files.rename(str(tmp_path / "none"), str(tmp_path / "other"))
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_scratch_can_be_dropped(spark, tmp_path, monkeypatch):
+    from millrace import session
+
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path / "scratch"))
+    session.materialize(spark.range(3))
+    assert (tmp_path / "scratch").exists()
+    session.drop_scratch(spark)
+    assert not (tmp_path / "scratch").exists()
