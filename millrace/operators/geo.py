@@ -7,7 +7,6 @@ the eight cells around it; the nearest one wins, the smaller ``geo_id`` on a tie
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
@@ -51,13 +50,19 @@ def _candidates(points: DataFrame, cell: int) -> tuple[DataFrame, int, int]:
         .withColumn("_cy", _cell(F.col("lat_e6"), cell) + F.col("_dy"))
     )
     per_cell = around.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("_n"))
-    fullest, total, cells = per_cell.agg(F.max("_n"), F.sum("_n"), F.count(F.lit(1))).first()
-    spread = math.ceil((fullest or 0) / POINTS_PER_ROW) or 1
-    size = (total or 0) * _POINT_BYTES + cells * spread * _ROW_BYTES
-    packed = around.groupBy(*_CELL, F.pmod(F.xxhash64("geo_id"), F.lit(spread)).alias("_slice")).agg(
+    slices = F.ceil(F.col("_n") / POINTS_PER_ROW).cast("bigint")
+    total, rows, spread = per_cell.agg(F.sum("_n"), F.sum(slices), F.max(slices)).first()
+    size = (total or 0) * _POINT_BYTES + (rows or 0) * _ROW_BYTES
+    if (spread or 1) > 1:
+        crowded = per_cell.filter(slices > 1).select(*_CELL, slices.alias("_slices"))
+        around = sized_join(around, crowded, _CELL, "left")
+        part = F.pmod(F.xxhash64("geo_id"), F.coalesce("_slices", F.lit(1)))
+    else:
+        part = F.lit(0)
+    packed = around.groupBy(*_CELL, part.alias("_slice")).agg(
         F.collect_list(F.struct("geo_id", "lng_e6", "lat_e6")).alias("_points")
     )
-    return packed.drop("_slice"), spread, size
+    return packed.drop("_slice"), spread or 1, size
 
 
 def _nearest(lng: str, lat: str) -> Column:
@@ -154,9 +159,10 @@ def reverse_geocode(df: DataFrame, index: PointIndex, *, lng: str = "lng", lat:
     if index.in_place:
         answered = index.grids[0].search(located).withColumn("_geo", _nearest("_lng", "_lat")["geo_id"])
     else:
+        # Each table below is read several times; what stands behind it may be costly, such as parsing text.
         coords = located.select("_lng", "_lat").filter("_lng is not null and _lat is not null").distinct()
-        best = nearest_point(coords, index, **options)
-        answers = best.select("_lng", "_lat", F.col("_best.geo_id").alias("_geo"))
+        best = nearest_point(materialize(coords, "coordinates"), index, **options)
+        answers = materialize(best.select("_lng", "_lat", F.col("_best.geo_id").alias("_geo")), "answers")
         answered = sized_join(located, answers, ["_lng", "_lat"], "left", **options)
     named = sized_join(answered, index.places, ["_geo"], "left", small=index.places_small, **options)
     kept = [c for c in df.columns if c not in PLACE_COLUMNS]

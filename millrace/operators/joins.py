@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 # A broadcast table is held by the driver and by every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -36,6 +36,14 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
 
 
+def splits_skew(spark: SparkSession) -> bool:
+    """Whether adaptive execution splits skewed joins here, even where that costs another shuffle later on."""
+    return all(
+        spark.conf.get(f"spark.sql.adaptive.{name}").lower() == "true"
+        for name in ("enabled", "skewJoin.enabled", "forceOptimizeSkewedJoin")
+    )
+
+
 def _any_null(keys: Sequence[str]) -> Column:
     found = F.lit(False)
     for key in keys:
@@ -80,10 +88,14 @@ def sized_join(
 ) -> DataFrame:
     """Join a large left side with a right side of unknown size.
 
-    A right side that is measured to be small is broadcast. Otherwise the join shuffles, but left rows with a hot or
-    null key stay where they are: their few right rows are broadcast. ``small`` skips the measurement when the caller
-    already knows, and ``skewed=False`` the search for hot keys when a left key has a bounded number of rows. A stream
-    can be searched only inside foreachBatch; as a plain streaming left side it is joined as it is.
+    A right side that is measured to be small is broadcast. Otherwise the join shuffles, and a hot key must not end up in
+    one task. Where the session lets adaptive execution split any skewed join, that does it, by the sizes it meets and
+    at no cost without skew. Elsewhere the left keys are counted first, and left rows with a hot or null key stay where
+    they are: their few right rows are broadcast.
+
+    ``small`` skips the measurement when the caller already knows, and ``skewed=False`` the search for hot keys when a
+    left key has a bounded number of rows. A stream can be searched only inside foreachBatch; as a plain streaming left
+    side it is joined as it is.
     """
     if how not in _JOIN_TYPES:
         raise ValueError(f"how must be one of {_JOIN_TYPES}")
@@ -92,7 +104,7 @@ def sized_join(
         small = fits_broadcast(right, broadcast_bytes)
     if small:
         return left.join(F.broadcast(right), on, how)
-    if left.isStreaming or not skewed:
+    if left.isStreaming or not skewed or splits_skew(left.sparkSession):
         return left.join(right, on, how)
 
     hot, many_nulls = hot_keys(left, on, share, min_rows)
@@ -100,12 +112,13 @@ def sized_join(
         return left.join(right, on, how)
 
     key_schema = T.StructType([left.schema[k] for k in on])
-    hot_rows = F.broadcast(left.sparkSession.createDataFrame(hot, key_schema))
-    hot_right = right.join(hot_rows, on, "left_semi")
-    if not fits_broadcast(hot_right, BROADCAST_BYTES):
-        return left.join(right, on, how)  # adaptive execution splits the large partitions
+    hot_rows = left.sparkSession.createDataFrame(hot, key_schema)  # at most 1 / share rows
+    hot_right = right.join(F.broadcast(hot_rows), on, "left_semi")
+    if not fits_broadcast(hot_right):
+        return left.join(right, on, how)  # few keys with very many or very wide right rows
 
     no_key = _any_null(on)
-    staying = left.filter(no_key).unionByName(left.filter(~no_key).join(hot_rows, on, "left_semi").select(left.columns))
-    moving = left.filter(~no_key).join(hot_rows, on, "left_anti").select(left.columns)
+    flagged = left.join(F.broadcast(hot_rows.withColumn("_hot", F.lit(True))), on, "left")
+    stays = no_key | F.coalesce(F.col("_hot"), F.lit(False))
+    staying, moving = (flagged.filter(c).select(left.columns) for c in (stays, ~stays))
     return staying.join(F.broadcast(hot_right), on, how).unionByName(moving.join(right, on, how))

@@ -33,6 +33,13 @@ def rows(columns, data) -> Counter:
     return Counter(tuple(_plain(row[i]) for i in order) for row in data)
 
 
+_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def _sql_type(spark_type: str) -> str:
+    return _TYPES.get(spark_type, spark_type.upper())
+
+
 def differences(spark_df, db, sql: str) -> str:
     """Empty when both sides agree in columns, types as Python sees them, and rows."""
     mine = spark_df.collect()
@@ -41,6 +48,10 @@ def differences(spark_df, db, sql: str) -> str:
     theirs = cursor.fetchall()
     if sorted(names) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} vs {sorted(names)}"
+    mine_types = {n: _sql_type(t) for n, t in spark_df.dtypes}
+    their_types = {d[0]: str(d[1]) for d in cursor.description}
+    if mine_types != their_types:
+        return f"types {sorted(set(mine_types.items()) ^ set(their_types.items()))}"
     a, b = rows(spark_df.columns, mine), rows(names, theirs)
     if a == b:
         return ""

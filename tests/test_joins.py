@@ -11,6 +11,15 @@ from millrace.operators import hot_keys, latest_by_key, lookup_join, measured_by
 FORCED = {"small": False, "share": 0.1, "min_rows": 0}
 
 
+@pytest.fixture(params=[True, False], ids=["split-by-hand", "split-by-aqe"])
+def by_hand(request, spark):
+    """Both ways to treat skew."""
+    name = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    spark.conf.set(name, str(not request.param).lower())
+    yield request.param
+    spark.conf.set(name, "true")
+
+
 def bag(df):
     return Counter(tuple(r) for r in df.select(sorted(df.columns)).collect())
 
@@ -36,22 +45,22 @@ def test_hot_keys_are_found(skewed):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_hot_keys_do_not_change_the_result(skewed, dim, how):
+def test_hot_keys_do_not_change_the_result(skewed, dim, how, by_hand):
     plain = skewed.join(dim, ["k"], how)
     assert bag(sized_join(skewed, dim, ["k"], how, **FORCED)) == bag(plain)
     assert bag(sized_join(skewed, dim, ["k"], how)) == bag(plain)
 
 
-def test_hot_rows_are_not_shuffled(spark, skewed, dim):
+def test_hot_rows_are_not_shuffled(spark, skewed, dim, by_hand):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = sized_join(skewed, dim, ["k"], "left", **FORCED)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" in plan
+    assert plan.count("SortMergeJoin") == 1 and ("BroadcastHashJoin" in plan) == by_hand
 
 
-def test_two_key_columns(spark):
+def test_two_key_columns(spark, by_hand):
     left = spark.createDataFrame([(1, "a", i) for i in range(50)] + [(2, None, 50), (3, "c", 51)], "a int, b string, r int")
     right = spark.createDataFrame([(1, "a", "x"), (3, "c", "y"), (2, None, "z")], "a int, b string, v string")
     assert bag(sized_join(left, right, ["a", "b"], "left", **FORCED)) == bag(left.join(right, ["a", "b"], "left"))
@@ -83,7 +92,7 @@ def looked_up(df):
 
 
 @pytest.mark.parametrize("options", [{}, FORCED])
-def test_defaults_on_a_miss_only(facts, rows, options):
+def test_defaults_on_a_miss_only(facts, rows, options, by_hand):
     names = rows([("a", "A"), ("b", None), (None, "nobody")], "key string, name string")
     assert looked_up(lookup_join(facts, names, ("k", "key"), ["name"], **options)) == {1: "A", 2: None, 3: C.NO_INFO, 4: C.NO_INFO}
     assert looked_up(lookup_join(facts, names, ("k", "key"), ["name"], how="inner", **options)) == {1: "A", 2: None}
@@ -142,3 +151,25 @@ def test_two_lookups_by_one_key_shuffle_the_facts_once(spark, rows):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning(_mid") == 3
+
+
+def test_adaptive_execution_splits_a_hot_key(spark):
+    """A third of the rows share a key; the join reads its partition in several tasks."""
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    left = spark.range(0, 300000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.rand(1).alias("x")
+    )
+    right = spark.range(300000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        joined = sized_join(left, right, ["k"], small=False)
+        assert len(joined.collect()) == 300000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
