@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import constants as C
-from ..operators import lookup, marts, parse, routing
+from ..operators import lookup, parse, routing
 from ..plans import jobs
 from ..session import scratch_path
 from ..sources.config import config_from_rows
