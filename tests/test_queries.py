@@ -4,6 +4,7 @@ import pytest
 from compare import database, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from millrace.checks import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,13 +14,13 @@ def db():
     return database(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, db, name):
     assert differences(queries()[name](spark, SF), db, oracle_sql()[name]) == ""
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_gives_rows(spark):
