@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, simhash
+from . import decontamination, mixing, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,3 +68,51 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of 3-word shingles, linked at 3 or fewer bits."""
     found = simhash.classes(load(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@check("""
+WITH doc AS (
+  SELECT doc_id, source, md5('mix-1:' || coalesce(doc_id::VARCHAR, '-')) AS spin,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+  FROM documents
+), total AS (
+  SELECT source, sum(size)::HUGEINT AS source_size, row_number() OVER (ORDER BY source COLLATE "C" NULLS LAST) - 1 AS k
+  FROM doc GROUP BY source
+), weighed AS (
+  SELECT *, [3, 1, 2][(k % 3) + 1]::HUGEINT AS weight, 2 * source_size AS cap, 3 * sum(source_size) OVER () AS budget
+  FROM total
+), summed AS (
+  SELECT *, sum(cap) OVER (ORDER BY cap::DOUBLE / weight, k ROWS UNBOUNDED PRECEDING)::HUGEINT AS gone,
+    (sum(weight) OVER () - sum(weight) OVER (ORDER BY cap::DOUBLE / weight, k ROWS UNBOUNDED PRECEDING))::HUGEINT AS rest
+  FROM weighed
+), filled AS (
+  SELECT *, (gone * weight + cap * rest) * 2 <= budget * weight AS is_full FROM summed
+), target AS (
+  SELECT source, source_size, CASE WHEN is_full THEN cap::DOUBLE ELSE
+    ((budget - 2 * coalesce(sum(cap) FILTER (is_full) OVER (), 0)) * weight)::DOUBLE
+      / (2 * coalesce(sum(weight) FILTER (NOT is_full) OVER (), 0))::DOUBLE END AS target
+  FROM filled
+), placed AS (
+  SELECT doc.*, target.source_size::BIGINT AS source_size, target,
+    (sum(size) OVER (PARTITION BY doc.source ORDER BY spin ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+  FROM doc JOIN target ON doc.source IS NOT DISTINCT FROM target.source
+)
+SELECT doc_id, size, source_size, target,
+  (greatest(0, least(size, floor(target)::BIGINT - start))
+    + greatest(0, least(size, floor(target)::BIGINT - start - source_size)))::BIGINT AS taken
+FROM placed
+""")
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted fair queueing of all sources at weights 3, 1, 2 to 150% of all words."""
+    plan = mixing.schedule(load(spark, sf_dir, "documents"))
+    return plan.orderBy("finish", "id").select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@check()
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in random order in 16 shards whose counts are at most one apart."""
+    placed = sharding.digest(load(spark, sf_dir, "documents"))
+    return placed.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
