@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, mixing, sharding, simhash
+from . import decontamination, knn, mixing, sharding, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,3 +116,76 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@check("""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS vec FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.vec, v.vec)::BIGINT AS score
+  FROM v AS q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+) WHERE rank <= 10
+""")
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all other vectors for every hundredth vector."""
+    return knn.top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+# The rules of the query, in the order they are given.
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+
+
+def _spread(level: str) -> str:
+    """The concentration of a level in SQL; see urls._concentration."""
+    even = "(rate * (1 - rate))"
+    return f"""(SELECT 1 / least(greatest(CASE WHEN room > 0 THEN (s - {even} * (k - 1)) / room ELSE 0.0001 END, 0.0001), 0.5) - 1
+      FROM (SELECT rate, sum((y - n * rate) * (y - n * rate) / n) AS s, count(*) AS k,
+          {even} * (sum(n) - sum(n * n) / sum(n) - (count(*) - 1)) AS room
+        FROM {level}, overall WHERE n > 0 GROUP BY rate))"""
+
+
+@check(f"""
+WITH parsed AS (
+  SELECT page_id, strpos(url, '://') AS mark, substr(url, strpos(url, '://') + 3) AS rest FROM pages
+), page AS (
+  SELECT row_number() OVER () AS r, page_id,
+    CASE WHEN mark > 0 THEN {_FOLDED.format("regexp_extract(rest, '^[^/?#]*')")} ELSE '' END AS host,
+    CASE WHEN mark > 0 THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM parsed
+), bad AS (
+  SELECT doc_id AS page_id, max((toxic = 1 OR quality = 0)::INTEGER) AS bad FROM labels GROUP BY 1
+), host AS (
+  SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS y,
+    array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix
+  FROM page LEFT JOIN bad USING (page_id) GROUP BY host
+), overall AS (SELECT coalesce(sum(y) / nullif(sum(n), 0), 0) AS rate FROM host),
+by_suffix AS (SELECT suffix, sum(n) AS n, sum(y) AS y FROM host GROUP BY 1),
+by_domain AS (SELECT domain, suffix, sum(n) AS n, sum(y) AS y FROM host GROUP BY 1, 2),
+strength AS (SELECT {_spread("by_suffix")} AS a, {_spread("by_domain")} AS b, {_spread("host")} AS c),
+of_suffix AS (SELECT suffix, (y + rate * a) / (n + a) AS suffix_rate FROM by_suffix, overall, strength),
+of_domain AS (SELECT domain, suffix, (y + suffix_rate * b) / (n + b) AS domain_rate FROM by_domain JOIN of_suffix USING (suffix), strength),
+of_host AS (SELECT host, n, c, (y + domain_rate * c) / (n + c) AS m FROM host JOIN of_domain USING (domain, suffix), strength),
+rules(rule_host, rule_path, action) AS (VALUES {", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)}),
+fit AS (
+  SELECT r, rule_host || rule_path AS rule, action,
+    row_number() OVER (PARTITION BY r ORDER BY length(rule_host || rule_path) DESC) AS k
+  FROM page JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(action,
+  CASE WHEN m - 1.645 * sqrt(m * (1 - m) / (n + c + 1)) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM page JOIN of_host USING (host) LEFT JOIN (SELECT * FROM fit WHERE k = 1) USING (r)
+""")
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules first, then host reputation. A page's outcome is the label with its id: bad if toxic or of low quality."""
+    outcomes = load(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad")
+    )
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return urls.judge(load(spark, sf_dir, "pages"), outcomes, rules)
