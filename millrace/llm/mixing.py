@@ -25,8 +25,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = (3, 2)  # the budget: 3/2 of all words
 EPOCHS = 2
 SEED = "mix-1"
-# Hash digits of the shuffled order by which a source's sums are split; 16 ** 4 ranges.
-DIGITS = 4
+# About so many rows of the table share the leading hash digits by which a source's sums are split.
+RANGE_ROWS = 20_000
 _EXACT = "decimal(38,0)"
 
 
@@ -83,11 +83,16 @@ def schedule(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     placed_by = [
         F.col(id_col).alias("_id"), F.col(source_col).isNull().alias("_none"),
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source"), n_words(F.col(text_col)).alias("_size"),
-        spin.alias("_spin"), F.left(spin, F.lit(DIGITS)).alias("_range"), F.xxhash64(F.col(text_col)).alias("_text"),
+        spin.alias("_spin"), F.xxhash64(F.col(text_col)).alias("_text"),
     ]
     # Without the texts this table is small, and it is needed three times.
     narrow = materialize(docs.select(*placed_by), "sizes")
-    rows = docs.select(*[F.col(c) for c in keep], *placed_by) if keep else narrow
+    total, digits = narrow.count(), 1
+    while total > RANGE_ROWS * 16**digits:
+        digits += 1
+    split = F.left("_spin", F.lit(digits))
+    rows = (docs.select(*[F.col(c) for c in keep], *placed_by) if keep else narrow).withColumn("_range", split)
+    narrow = narrow.withColumn("_range", split)
     sized = narrow.select(F.when(~F.col("_none"), F.col("_source")).alias("source"), F.col("_size").alias("size"))
     targets = source_targets(sized, weights, share, epochs)
     targets = targets.withColumns({"_none": F.col("source").isNull(), "_source": F.coalesce("source", F.lit(""))})
