@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, knn, mixing, sharding, simhash, urls
+from . import decontamination, knn, mixing, sharding, simhash, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,6 +63,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from the labels that are not held out."""
+    return toxicity.scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 @check()
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of 3-word shingles, linked at 3 or fewer bits."""
