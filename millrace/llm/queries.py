@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, knn, mixing, sharding, simhash, toxicity, urls
+from . import decontamination, knn, line_dedup, mixing, sharding, simhash, spans, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,6 +76,29 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@check(r"""
+WITH line AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS value, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k
+  FROM documents
+), pair AS (
+  SELECT doc_id, k, value || chr(10) || lead(value) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM line
+), later AS (
+  SELECT doc_id, k FROM pair WHERE run IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, k) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, k + d AS k FROM later, (VALUES (0), (1)) AS t(d)
+), kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(g.k) AS n_removed, coalesce(string_agg(value, chr(10) ORDER BY k) FILTER (g.k IS NULL), '') AS rest
+  FROM line LEFT JOIN gone AS g USING (doc_id, k) GROUP BY doc_id
+)
+SELECT doc_id, CASE WHEN n_removed > 0 THEN rest ELSE text END AS text, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+FROM documents LEFT JOIN kept USING (doc_id)
+""")
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later copies of repeated runs of two or more lines deleted."""
+    return line_dedup.dedup(load(spark, sf_dir, "documents"))
+
+
 @check("""
 WITH doc AS (
   SELECT doc_id, source, md5('mix-1:' || coalesce(doc_id::VARCHAR, '-')) AS spin,
@@ -114,6 +137,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.orderBy("finish", "id").select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@check()
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences of repeated spans removed but for the first."""
+    return spans.dedup(load(spark, sf_dir, "documents"))
+
+
 @check()
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in random order in 16 shards whose counts are at most one apart."""
