@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, knn, line_dedup, mixing, sharding, simhash, spans, toxicity, urls
+from . import decontamination, knn, licenses, line_dedup, mixing, sharding, simhash, spans, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,6 +143,12 @@ def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.dedup(load(spark, sf_dir, "documents"))
 
 
+@check()
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in whole texts."""
+    return licenses.scan(load(spark, sf_dir, "documents"))
+
+
 @check()
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in random order in 16 shards whose counts are at most one apart."""
