@@ -70,7 +70,8 @@ class SuffixArray:
         packed = np.zeros(len(ids), np.int64)
         for k in range(self.width):
             part = np.zeros(len(ids), np.int64)
-            part[: len(ids) - k] = ids[k:] if k else ids
+            if k < len(ids):
+                part[: len(ids) - k] = ids[k:]
             packed = (packed << self.bits) | np.where(self.run > k, part, 0)
         return packed
 
