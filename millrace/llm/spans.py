@@ -82,7 +82,8 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
     )
     place = F.struct(F.col("id").isNotNull().alias("known"), "id", "of", "begin")
     first = placed.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    repeated = first.filter(~F.col("first").eqNullSafe(F.col("last"))).select("high", "low", "first")
+    # Stored, so that the join has a shuffle of its own on either side, and adaptive execution can split a hot hash.
+    repeated = materialize(first.filter(~F.col("first").eqNullSafe(F.col("last"))).select("high", "low", "first"), "repeated")
     copies = placed.join(repeated, ["high", "low"]).filter(~place.eqNullSafe(F.col("first")))
 
     # A null id needs a value to be joined by; the flag keeps it apart from any id.
