@@ -67,7 +67,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         places = materialize(pairs.join(ranks, ["rank", "next"]).select("id", *document, "line", F.col("place").alias("rank")), "places")
         known += step
     place = F.struct(F.col("id").isNotNull().alias("known"), "id", "of", "line")
-    first = places.groupBy("rank").agg(F.min(place).alias("first"))
+    # Stored, so that the join has a shuffle of its own on either side, and adaptive execution can split a hot run.
+    first = materialize(places.groupBy("rank").agg(F.min(place).alias("first")), "first")
     return places.join(first, "rank").select(
         *document, "line", F.col("rank").alias("run"), (~place.eqNullSafe(F.col("first"))).alias("later")
     )
