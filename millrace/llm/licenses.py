@@ -104,13 +104,14 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, *, id_col: st
     spark = docs.sparkSession
     known = [template(n, t) for n, t in (TEMPLATES if templates is None else templates).items()]
     anchors = sorted({_signed(xxhash.xxh64_intdigest(s, SEED)) for t in known for s in t.shingles})
-    source = docs.select(F.col(id_col).alias("id"), text_words(F.col(text_col)).alias("words"))
+    # Taken out of an array of one, words and hashes are computed once a row: a filter is not moved below that.
+    source = docs.select(F.col(id_col).alias("id"), F.explode(F.array(text_words(F.col(text_col)))).alias("words"))
     hashed = F.transform(
         F.sequence(F.lit(1), F.size("words") - SHINGLE + 1),
         lambda k: F.xxhash64(F.array_join(F.slice("words", k, SHINGLE), " ")),
     )
-    hashes = F.when(F.size("words") >= SHINGLE, hashed)
-    met = source.withColumn("hashes", hashes).filter(F.exists("hashes", lambda h: h.isin(anchors)))
+    enough = source.filter(F.size("words") >= SHINGLE).select("id", "words", F.explode(F.array(hashed)).alias("hashes"))
+    met = enough.filter(F.exists("hashes", lambda h: h.isin(anchors)))
     found = materialize(met.withColumn("row", F.monotonically_increasing_id()), "candidates")
     places = F.filter(F.sequence(F.lit(0), F.size("hashes") - 1), lambda k: F.element_at("hashes", k + 1).isin(anchors))
     located = found.withColumn("places", places)

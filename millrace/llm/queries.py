@@ -186,7 +186,7 @@ URL_RULES = [
 def _spread(level: str) -> str:
     """The concentration of a level in SQL; see urls._concentration."""
     even = "(rate * (1 - rate))"
-    return f"""(SELECT 1 / least(greatest(CASE WHEN room > 0 THEN (s - {even} * (k - 1)) / room ELSE 0.0001 END, 0.0001), 0.5) - 1
+    return f"""(SELECT 1 / least(greatest(CASE WHEN room > 0 THEN (s - {even} * (k - 1)) / room ELSE 0.5 END, 0.0001), 0.5) - 1
       FROM (SELECT rate, sum((y - n * rate) * (y - n * rate) / n) AS s, count(*) AS k,
           {even} * (sum(n) - sum(n * n) / sum(n) - (count(*) - 1)) AS room
         FROM {level}, overall WHERE n > 0 GROUP BY rate))"""
@@ -206,7 +206,7 @@ WITH parsed AS (
   SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS y,
     array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix
   FROM page LEFT JOIN bad USING (page_id) GROUP BY host
-), overall AS (SELECT coalesce(sum(y) / nullif(sum(n), 0), 0) AS rate FROM host),
+), overall AS (SELECT (sum(y) + 1) / (sum(n) + 2) AS rate FROM host),
 by_suffix AS (SELECT suffix, sum(n) AS n, sum(y) AS y FROM host GROUP BY 1),
 by_domain AS (SELECT domain, suffix, sum(n) AS n, sum(y) AS y FROM host GROUP BY 1, 2),
 strength AS (SELECT {_spread("by_suffix")} AS a, {_spread("by_domain")} AS b, {_spread("host")} AS c),
