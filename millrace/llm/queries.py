@@ -206,7 +206,7 @@ WITH parsed AS (
   SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS y,
     array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix
   FROM page LEFT JOIN bad USING (page_id) GROUP BY host
-), overall AS (SELECT (sum(y) + 1) / (sum(n) + 2) AS rate FROM host),
+), overall AS (SELECT (sum(y) + 1) / (sum(n) + 10) AS rate FROM host),
 by_suffix AS (SELECT suffix, sum(n) AS n, sum(y) AS y FROM host GROUP BY 1),
 by_domain AS (SELECT domain, suffix, sum(n) AS n, sum(y) AS y FROM host GROUP BY 1, 2),
 strength AS (SELECT {_spread("by_suffix")} AS a, {_spread("by_domain")} AS b, {_spread("host")} AS c),

@@ -1,7 +1,7 @@
 """URL filters: host rules, and host reputation by empirical Bayes.
 
 Labelled outcomes (1: bad) are counted by host. Each host's rate is shrunk towards that of its registered domain, the domain's
-towards that of its suffix, and the suffix's towards the rate of all (with one good and one bad outcome added). How strongly is told by the spread of the rates
+towards that of its suffix, and the suffix's towards the rate of all (with nine good outcomes and a bad one added). How strongly is told by the spread of the rates
 themselves, one beta-binomial concentration per level by the method of moments. A host is blocked if the lower bound of its
 posterior rate, ``z`` posterior deviations below its mean, is above the limit; so a few bad pages alone do not block it.
 Rules come first.
@@ -73,7 +73,7 @@ def reputation(counts: DataFrame, *, suffixes: Sequence[str] = (), z: float = Z)
     domain, suffix = domain_and_suffix(F.col("host"), suffixes)
     hosts = counts.withColumns({"domain": domain, "suffix": suffix})
     total = hosts.agg(F.sum("n").alias("n"), F.sum("y").alias("y")).first()
-    rate = ((total["y"] or 0) + 1) / ((total["n"] or 0) + 2)
+    rate = ((total["y"] or 0) + 1) / ((total["n"] or 0) + 10)
     by_suffix = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
     by_domain = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
     shrunk = lambda parent, weight: (F.col("y") + parent * F.lit(weight)) / (F.col("n") + F.lit(weight))
