@@ -18,7 +18,7 @@ QUERIES = [
     "parse_events_json", "route_user_log_counts", "cdc_classify", "dim_upsert_latest", "clean_city", "clean_song_dim",
     "dws_song_play_wide", "dws_order_wide", "geo_nearest", "dm_song_hot", "dm_login_loc", "dm_order_revenue",
     "revenue_by_region", "rollup_song_daily", "count_window_full", "count_window_keyed", "late_data_drop",
-    "stream_song_hot", "stream_dim_upsert", "stream_count_window",
+    "count_window_apply", "stream_song_hot", "stream_dim_upsert", "stream_count_window",
 ]
 
 

@@ -355,10 +355,12 @@ def _change_type() -> Column:
     )
 
 
-def _envelope(table: str, kind: Column, seconds: Column, xid: Column, data: Column) -> Column:
+def _envelope(table: str, kind: Column, seconds: Column, xid: Column, data: Column, last: Column | None = None) -> Column:
+    """A change record. ``last`` tells the committing record of a transaction, which has no offset, from those before."""
+    last = F.lit(False) if last is None else last
     return F.to_json(F.struct(
         F.lit("sales").alias("database"), F.lit(table).alias("table"), kind.alias("type"), seconds.alias("ts"),
-        xid.alias("xid"), F.lit(0).alias("xoffset"), F.lit(True).alias("commit"), data.alias("data"),
+        xid.alias("xid"), F.when(~last, F.lit(0)).alias("xoffset"), F.when(last, F.lit(True)).alias("commit"), data.alias("data"),
     ))
 
 
@@ -375,19 +377,23 @@ def order_changes(orders: DataFrame) -> DataFrame:
 
 
 def machine_changes(orders: DataFrame) -> DataFrame:
-    """Every order also reports the place of its machine, a change of the place dimension."""
+    """Every order also reports the place of its machine, a change of the place dimension.
+
+    It is a transaction of two records: a draft, and the record that commits it and counts.
+    """
     status = F.col("o_orderstatus")
     day = F.col("o_orderdate").cast("timestamp")
+    drafted = orders.withColumn("_last", F.explode(F.array(F.lit(True), F.lit(False))))
+    place = F.when(status != "P", F.concat(F.lit("四川省城"), "o_orderkey", F.lit("市东路")))
     body = F.struct(
         F.col("o_custkey").alias("mid"),
         F.when(status == "F", F.lit(C.NO_INFO)).otherwise(F.concat(F.lit("省份"), status)).alias("province"),
         F.when(status == "O", F.lit("城市O")).otherwise(F.lit(C.NO_INFO)).alias("city"),
-        F.when(status != "P", F.concat(F.lit("四川省城"), "o_orderkey", F.lit("市东路"))).alias("address"),
+        F.when(F.col("_last"), place).otherwise(F.lit("草")).alias("address"),
         F.lit(1).alias("map_class"),
     )
-    return orders.select(
-        _envelope("machine", _change_type(), F.unix_seconds(day), F.col("o_orderkey"), body).alias("value")
-    )
+    record = _envelope("machine", _change_type(), F.unix_seconds(day), F.col("o_orderkey"), body, F.col("_last"))
+    return drafted.select(record.alias("value"))
 
 
 def song_changes(songs: DataFrame) -> DataFrame:
@@ -417,7 +423,7 @@ CHANGES_SQL = f"""order_log AS (
   FROM orders),
 changes AS (
   SELECT 'orders' AS tbl, type, ts, o_orderkey AS xid FROM order_log
-  UNION ALL SELECT 'machine', type, ts, o_orderkey FROM order_log
+  UNION ALL SELECT 'machine', type, ts, o_orderkey FROM order_log, (VALUES (1), (2))
   UNION ALL SELECT 'part', 'bootstrap-insert', 0, p_partkey FROM part
   UNION ALL SELECT 'nation', 'insert', 0, n_nationkey FROM nation),
 conf(tbl, kind, pk_col, phoenix_tbl_name, sink_topic) AS (VALUES

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import constants as C
 from ..operators import cdc, parse, routing
 from .inputs import CHANGES_SQL, LOGINS_SQL, MACHINES_SQL, PLAYS_SQL, change_log, config, user_log
-from .registry import check
+from .registry import check, load
 
 _KINDS = """kinds AS (
   SELECT event_id, CASE event_type WHEN 'click' THEN 'play' WHEN 'signup' THEN 'login' WHEN 'error' THEN 'malformed' ELSE 'other' END AS route,
@@ -127,7 +127,7 @@ def cdc_dim_records(spark, sf_dir):
 @check(f"""WITH {CHANGES_SQL},
 flat AS (
   SELECT 'orders' AS tbl, CAST(o_orderkey AS VARCHAR) AS pk, type, ts FROM order_log
-  UNION ALL SELECT 'machine', CAST(o_custkey AS VARCHAR), type, ts FROM order_log
+  UNION ALL SELECT 'machine', CAST(o_custkey AS VARCHAR), type, ts FROM order_log, (VALUES (1), (2))
   UNION ALL SELECT 'part', CAST(p_partkey AS VARCHAR), 'bootstrap-insert', 0 FROM part)
 SELECT sink_topic AS topic, type, CAST(ts AS VARCHAR) AS ts, pk_col, phoenix_tbl_name AS phoenix_table_name, pk
 FROM flat JOIN conf USING (tbl)""")
@@ -150,3 +150,30 @@ def cdc_op_filter(spark, sf_dir):
 def dim_upsert_latest(spark, sf_dir):
     dims = cdc.dim_changes(classified(spark, sf_dir))
     return cdc.latest_dim_rows(dims, C.DIM_MACHINE_LOCAL, "mid", "mid,province,city,address")
+
+
+# Numbers as a log may spell them, in Spark SQL; the twin knows what they mean.
+_ODD_NUMBER = """CASE CAST(event_id % 5 AS INTEGER) WHEN 0 THEN '"' || event_id || '"' WHEN 1 THEN event_id || '.75'
+  WHEN 2 THEN event_id || 'e1' WHEN 3 THEN '"none"' ELSE '' || event_id END"""
+
+
+@check("""SELECT event_id, CASE event_id % 5 WHEN 2 THEN event_id * 10 WHEN 3 THEN 0 ELSE event_id END AS time,
+  CASE WHEN event_id % 2 = 0 THEN 0 ELSE user_id END AS uid FROM events""")
+def parse_events_odd_numbers(spark, sf_dir):
+    """Quoted numbers, fractions and exponents; unreadable and missing ones become 0."""
+    uid = "CASE WHEN event_id % 2 = 0 THEN '' ELSE ',\"uid\":' || user_id END"
+    text = f"""'{{"event_id":' || event_id || ',"time":' || {_ODD_NUMBER} || {uid} || '}}'"""
+    odd = load(spark, sf_dir, "events").select(F.expr(text).alias("value"))
+    return parse.parse_json(odd, T.StructType([T.StructField(n, T.LongType()) for n in ("event_id", "time", "uid")]))
+
+
+@check("""SELECT event_id, event_id + 1 AS twice, event_id / 4.0 AS quarter, 'new' AS ts FROM events""")
+def cdc_put_fields_edge(spark, sf_dir):
+    """Fields put into objects with repeated names, nulls and numbers of many spellings."""
+    quarter = "CAST(event_id / 4 AS DECIMAL(20, 4))"
+    text = f"""'{{"event_id":' || event_id || ',"twice":0,"twice":' || (event_id + 1) || ',"quarter":' || {quarter}
+      || CASE CAST(event_id % 3 AS INTEGER) WHEN 0 THEN ',"gone":null' WHEN 1 THEN ',"ts":"old"' ELSE '' END || '}}'"""
+    odd = load(spark, sf_dir, "events").select(F.expr(text).alias("value"))
+    put = odd.select(parse.put_fields(F.col("value"), ts=F.lit("new")).alias("value"))
+    fields = [T.StructField("event_id", T.LongType()), T.StructField("twice", T.LongType()), T.StructField("quarter", T.DoubleType()), T.StructField("ts", T.StringType())]
+    return parse.parse_json(put, T.StructType(fields))

@@ -42,12 +42,13 @@ def count_window_left_over(spark, sf_dir):
     return windows.count_window_rest(_events(spark, sf_dir), 10, _ORDER, ["event_type"]).select("event_type", "event_id")
 
 
-def _gaps(window: pd.DataFrame) -> pd.DataFrame:
-    """Every row with the window's first event and the rank of its value in the window."""
-    ranks = window["value"].rank(method="min").astype("int64")
+def _gaps(windows_: pd.DataFrame) -> pd.DataFrame:
+    """Every row with its window's first event and the rank of its value in the window."""
+    by_window = windows_.groupby("window_no")
     return pd.DataFrame({
-        "window_no": window["window_no"], "event_id": window["event_id"],
-        "first_event": window["event_id"].iloc[0], "value_rank": ranks,
+        "window_no": windows_["window_no"], "event_id": windows_["event_id"],
+        "first_event": by_window["event_id"].transform("first"),
+        "value_rank": by_window["value"].rank(method="min").astype("int64"),
     })
 
 

@@ -48,6 +48,13 @@ def clean_format_date(spark, sf_dir):
     return raw_songs(spark, sf_dir).select("source_id", dates.format_date(F.col("post_time")).alias("post_time"))
 
 
+@check("""SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp FROM events""")
+def clean_format_date_short(spark, sf_dir):
+    """Dates and times without leading zeros."""
+    short = F.date_format("ts", "yyyy-M-d H:m:s")
+    return load(spark, sf_dir, "events").select("event_id", dates.format_date(short).alias("stamp"))
+
+
 @check(f"WITH {RAW_SONGS_SQL} SELECT * FROM cleansed")
 def clean_song_dim(spark, sf_dir):
     """Through the change records, as the dimension job does it."""

@@ -5,7 +5,7 @@ The test tables are read as file streams; tables that a stream writes go below t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import constants as C
 from ..operators import lookup, parse, routing
@@ -17,7 +17,7 @@ from ..sources.topics import FolderTopics
 from ..streaming.counts import CountWindowStream
 from ..streaming.dimensions import DimensionStore
 from .inputs import (
-    CHANGES_SQL, CONFIG_ROWS, MACHINES_SQL, REVENUE_SQL, WIDE_SQL, contract_dim, location_dim, log_text, machine_changes,
+    CHANGES_SQL, CONFIG_ROWS, MACHINES_SQL, REVENUE_SQL, WIDE_SQL, change_log, contract_dim, location_dim, log_text,
     order_changes, point_index, song_dim,
 )
 from .logs import _KINDS
@@ -78,32 +78,79 @@ def stream_user_log_routes(spark, sf_dir):
     return written.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
-@check("""WITH ranked AS (
-  SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS seq, count(*) OVER () AS total FROM events)
-SELECT seq // 10 AS window_no, event_id, CAST(seq % 10 AS INTEGER) AS window_pos FROM ranked WHERE (seq // 10 + 1) * 10 <= total""")
+def in_batches(df: DataFrame, number: Column, batches: int, root: str) -> DataFrame:
+    """A stream over ``df`` with one micro-batch per value of ``number`` from 0 on."""
+    folder = f"{root}/in"
+    for k in range(batches):
+        df.filter(number == k).coalesce(1).write.parquet(f"{folder}/batch={k}")
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/batch=*")
+
+
+_BATCHES = 4
+
+
+@check(f"""WITH ranked AS (
+  SELECT *, row_number() OVER (ORDER BY event_id % {_BATCHES}, ts, event_id) - 1 AS seq, count(*) OVER () AS total FROM events)
+SELECT first_value(event_id) OVER (PARTITION BY seq // 7 ORDER BY seq) AS first_event, event_id, CAST(seq % 7 AS INTEGER) AS window_pos
+FROM ranked WHERE (seq // 7 + 1) * 7 <= total""")
 def stream_count_window(spark, sf_dir):
+    """Row-count windows over several micro-batches, with the rest of each carried into the next."""
     root = scratch_path(spark, "count-window")
-    work = CountWindowStream(spark, f"{root}/out", 10, ["ts", "event_id"])
-    events = stream(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    events.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).foreachBatch(
-        work
-    ).start().awaitTermination()
-    return work.windows().select("window_no", "event_id", "window_pos")
+    work = CountWindowStream(spark, f"{root}/out", 7, ["ts", "event_id"])
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    ordered = in_batches(events, F.col("event_id") % _BATCHES, _BATCHES, root)
+    batches = ordered.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    # What a batch carries over comes before its own rows, whatever the times.
+    batches.foreachBatch(lambda df, k: CountWindowStream(
+        spark, work.root, 7, ["arrived", "ts", "event_id"])(df.withColumn("arrived", F.lit(k)), k)).start().awaitTermination()
+    window = Window.partitionBy("batch", "window_no").orderBy("window_pos")
+    return work.windows().select(F.first("event_id").over(window).alias("first_event"), "event_id", "window_pos")
 
 
 @check(f"WITH {CHANGES_SQL}, {MACHINES_SQL} SELECT mid, province, city, address FROM machine_dim")
 def stream_dim_upsert(spark, sf_dir):
-    """Change log -> dimension records -> snapshot, in two jobs."""
+    """Change log -> dimension records -> snapshots merged batch by batch, in two jobs over the whole log."""
+    return _dim_stream(spark, sf_dir, flat=False)
+
+
+@check(f"WITH {CHANGES_SQL}, {MACHINES_SQL} SELECT mid, province, city, address FROM machine_dim")
+def stream_dim_upsert_flat(spark, sf_dir):
+    """The same through flat records."""
+    return _dim_stream(spark, sf_dir, flat=True)
+
+
+def _dim_stream(spark: SparkSession, sf_dir: str, flat: bool) -> DataFrame:
     root = scratch_path(spark, "dim-upsert")
-    topics, store = FolderTopics(f"{root}/topics"), DimensionStore(spark, f"{root}/dims")
-    log = machine_changes(stream(spark, sf_dir, "orders"))
-    jobs.cdc_to_dwd(log, config_from_rows(CONFIG_ROWS), topics, f"{root}/c1").awaitTermination()
-    jobs.dim_upsert(topics.read_stream(spark, C.DWD_DIM, "dwd_changes"), store, f"{root}/c2").awaitTermination()
-    return store.read(C.DIM_MACHINE_LOCAL)
+    topics, store = FolderTopics(f"{root}/topics", max_files_per_trigger=1), DimensionStore(spark, f"{root}/dims", buckets=8)
+    # In the order of time, so that the last arrival is the latest change.
+    log = change_log(spark, sf_dir)
+    if flat:  # a flat record carries no transaction, so the drafts, which come first, stay out
+        log = log.filter(~F.col("value").contains('"xoffset":0,"data":{"mid"'))
+    timed = log.withColumn("ts", F.get_json_object("value", "$.ts").cast("bigint"))
+    bounds = timed.filter("ts > 0").approxQuantile("ts", [0.34, 0.67], 0.01)
+    number = F.when(F.col("ts") <= bounds[0], 0).when(F.col("ts") <= bounds[1], 1).otherwise(2)
+    changes = in_batches(timed, number, 3, root).select("value")
+    jobs.cdc_to_dwd(changes, config_from_rows(CONFIG_ROWS), topics, f"{root}/c1", flat=flat).awaitTermination()
+    jobs.dim_upsert(topics.read_stream(spark, C.DWD_DIM, "dwd_changes"), store, f"{root}/c2", flat=flat).awaitTermination()
+    return store.read(C.DIM_MACHINE_LOCAL).select("mid", "province", "city", "address")
+
+
+@check(f"""WITH {_KINDS} SELECT 'user log' AS job, count(*) AS n FROM kinds WHERE route = 'malformed' HAVING count(*) > 0
+UNION ALL SELECT 'changes', count(*) FROM kinds WHERE route = 'malformed' HAVING count(*) > 0
+UNION ALL SELECT 'heat', count(*) FROM kinds WHERE route = 'malformed' HAVING count(*) > 0""")
+def stream_malformed_routes(spark, sf_dir):
+    """Text that is no JSON object comes out of every job on a route of its own."""
+    root = scratch_path(spark, "malformed")
+    topics = FolderTopics(root)
+    jobs.user_log_to_dwd(log_stream(spark, sf_dir), topics, f"{root}/c1", name="user log").awaitTermination()
+    jobs.cdc_to_dwd(log_stream(spark, sf_dir), config_from_rows(CONFIG_ROWS), topics, f"{root}/c2", name="changes").awaitTermination()
+    jobs.malformed_records(log_stream(spark, sf_dir), topics, f"{root}/c3", name="heat").awaitTermination()
+    found = [topics.read(spark, routing.MALFORMED, job).select(F.lit(job).alias("job")) for job in ("user log", "changes", "heat")]
+    return found[0].unionByName(found[1]).unionByName(found[2]).groupBy("job").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _save_dim(spark: SparkSession, df: DataFrame, root: str, table: str) -> None:
-    df.write.parquet(f"{root}/{table}/batch=0")
+    DimensionStore(spark, root).put(df, table, {C.DIM_SONG: "source_id", C.DIM_MACHINE_LOCAL: "mid"}.get(table, "machine_num"))
 
 
 @check(f"WITH {_WIDE_PLAYS} SELECT session_id, songid, singer_info FROM plays_wide")

@@ -22,6 +22,37 @@ class SharedFiles:
         fs, target = self._open(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
 
+    def files(self, path: str) -> dict[str, int]:
+        """All files below ``path`` by their relative names, with their sizes."""
+        fs, target = self._open(path)
+        if not fs.exists(target):
+            return {}
+        root, found = fs.makeQualified(target).toString().rstrip("/"), {}
+        walk = fs.listFiles(target, True)
+        while walk.hasNext():
+            status = walk.next()
+            found[status.getPath().toString()[len(root) + 1:]] = status.getLen()
+        return found
+
+    def write_text(self, path: str, text: str) -> None:
+        fs, target = self._open(path)
+        out = fs.create(target, True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+    def read_text(self, path: str) -> str | None:
+        """The text of a file, or None if there is none."""
+        fs, target = self._open(path)
+        if not fs.exists(target):
+            return None
+        source = fs.open(target)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        finally:
+            source.close()
+
     def delete(self, path: str) -> None:
         fs, target = self._open(path)
         fs.delete(target, True)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import constants as C
 from ..functions.cleansing import cleanse
@@ -14,11 +14,23 @@ from .parse import parse_json, put_fields
 
 ENVELOPE = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("database", "table", "type", "data")]
-    + [T.StructField(n, T.LongType()) for n in ("ts", "xid", "xoffset")]
+    + [T.StructField(n, T.LongType()) for n in ("ts", "xid", "xoffset")] + [T.StructField("commit", T.BooleanType())]
 )
 CONFIG_KEY = ["database", "table"]
 _DIM_FIELDS = ("pk_col", "cols", "phoenix_tbl_name", "sink_topic")
-CHANGE_ORDER = ("ts", "xid", "xoffset")
+# Where a record stood in its topic, if the source tells.
+ARRIVAL = ("partition", "batch", "offset")
+
+
+def _change_order(changes: DataFrame) -> list[Column]:
+    """What orders changes: time, transaction, place in it, and the record's place in its topic.
+
+    Records inside a transaction carry an offset; the one that commits it comes last and may carry none.
+    """
+    there = lambda name, kind: F.col(name) if name in changes.columns else F.lit(None).cast(kind)
+    last = F.coalesce(there("commit", "boolean"), F.lit(False)) | F.col("xoffset").isNull()
+    arrival = [F.col(c).alias(f"_{c}") for c in ARRIVAL if c in changes.columns]
+    return [F.col("ts").alias("_ts"), F.col("xid").alias("_xid"), last.alias("_last"), F.col("xoffset").alias("_xoffset"), *arrival]
 
 
 def parse_changes(df: DataFrame, column: str = "value", keep: Collection[str] = ()) -> DataFrame:
@@ -115,17 +127,38 @@ def column_names(pk: str, cols: str) -> list[str]:
     return list(dict.fromkeys([pk, *(c.strip() for c in cols.rstrip(",").split(","))]))
 
 
-def dim_rows(changes: DataFrame, table: str, pk: str, cols: str) -> DataFrame:
-    """Rows for one dimension table as they came, all text, with the columns that order the changes."""
-    names = column_names(pk, cols)
+def _dim_values(changes: DataFrame, table: str, pk: str, names: Collection[str], keep: Collection[Column]) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     mine = wanted_ops(changes).filter(F.col("phoenix_tbl_name") == table)
-    order = [F.col(c).alias(f"_{c}") for c in CHANGE_ORDER]
-    return parse_json(mine, schema, "data", keep=order).filter(F.col(pk).isNotNull())
+    return parse_json(mine, schema, "data", keep=[*_change_order(changes), *keep]).filter(F.col(pk).isNotNull())
+
+
+def dim_rows(changes: DataFrame, table: str, pk: str, cols: str) -> DataFrame:
+    """Rows for one dimension table as they came, all text, with the columns that order the changes."""
+    return _dim_values(changes, table, pk, column_names(pk, cols), [])
 
 
 def latest_dim_rows(changes: DataFrame, table: str, pk: str, cols: str) -> DataFrame:
     """The last version of every key among ``changes``, cleansed."""
-    order = [f"_{c}" for c in CHANGE_ORDER]
-    latest = latest_by_key(dim_rows(changes, table, pk, cols), [pk], order)
-    return cleanse(latest, table).select(column_names(pk, cols))
+    rows, names = dim_rows(changes, table, pk, cols), column_names(pk, cols)
+    latest = latest_by_key(rows, [pk], [c for c in rows.columns if c not in names])
+    return cleanse(latest, table).select(names)
+
+
+def latest_dim_columns(changes: DataFrame, table: str, pk: str, cols: Collection[str]) -> DataFrame:
+    """The last value of every column of every key, cleansed: the key as text, each other column as ``struct<value>``.
+
+    A record gives only the columns that its own ``cols`` names (all, if ``changes`` has no such column). A column that no
+    record of a key gives is null instead of a struct, and one that is given as null is a struct of null.
+    """
+    names = list(dict.fromkeys(n for c in cols for n in column_names(pk, c)))
+    own = F.col("cols") if "cols" in changes.columns else F.lit(None).cast("string")
+    rows = cleanse(_dim_values(changes, table, pk, names, [own.alias("_cols")]), table)
+    order = [c for c in rows.columns if c not in names and c != "_cols"]
+    listed = F.transform(F.split("_cols", ","), lambda c: F.trim(c))
+    last = [
+        F.max(F.when(F.coalesce(F.array_contains(listed, c), F.lit(True)), F.struct(*order, F.col(c).alias("value")))).alias(c)
+        for c in names if c != pk
+    ]
+    found = rows.groupBy(pk).agg(*last) if last else rows.select(pk).distinct()
+    return found.select(pk, *[F.when(F.col(c).isNotNull(), F.struct(F.col(c)["value"].alias("value"))).alias(c) for c in names if c != pk])

@@ -21,20 +21,23 @@ def lookup_join(
     default: object = C.NO_INFO,
     how: str = "left",
     latest: Sequence[str] | None = None,
+    unique: bool = False,
     **join_options,
 ) -> DataFrame:
     """Add ``columns`` of ``dim`` to ``df`` where ``on = (column of df, column of dim)`` match.
 
     With ``how="left"`` a row without a match gets the defaults; a match whose column is null stays null. With
-    ``how="inner"`` a row without a match is dropped. A column that ``df`` already has is overwritten. ``dim`` must
-    hold one row per key; where it may not, ``latest`` names the columns that order its versions.
+    ``how="inner"`` a row without a match is dropped. A column that ``df`` already has is overwritten. A row never
+    meets more than one of ``dim``: of several with its key the last by ``latest`` counts, and of these the greatest by
+    content. ``unique`` says that ``dim`` has one row per key, as a snapshot does, and saves looking.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     wanted = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
     fact_key, dim_key = on
-    if latest:
-        dim = latest_by_key(dim, [dim_key], latest)
+    if latest or not unique:
+        needed = list(dict.fromkeys([dim_key, *(latest or ()), *wanted.values()]))
+        dim = latest_by_key(dim.select(needed), [dim_key], latest or [])
     if df.schema[fact_key].dataType == dim.schema[dim_key].dataType:
         # Joining on the column itself lets a second lookup by it reuse the partitioning.
         left, key, dim_value = df, fact_key, F.col(dim_key)
@@ -73,8 +76,13 @@ def order_wide(
     strict: bool = False,
     **options,
 ) -> DataFrame:
-    """Orders with the place and the contract of their machine. ``strict`` keeps only orders where both are known."""
+    """Orders with the place and the contract of their machine.
+
+    ``strict`` keeps only orders where both are known: a match whose province or investor's rate is null does not count.
+    """
     how = "inner" if strict else "left"
+    if strict:
+        locations, contracts = locations.filter("province IS NOT NULL"), contracts.filter("inv_rate IS NOT NULL")
     keyed = orders.withColumn("_mid", F.col("mid").cast("string"))
     placed = lookup_join(keyed, locations, ("_mid", "mid"), location_columns, how=how, **options)
     contracted = lookup_join(

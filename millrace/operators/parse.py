@@ -20,16 +20,24 @@ def parse_json(
 ) -> DataFrame:
     """Read ``column`` as JSON into the columns of ``schema``, next to the ``keep`` columns.
 
-    A string column takes a nested object as its JSON text. A missing number becomes ``number_default``; pass None to
-    keep it null. ``malformed`` names an extra column that holds text which is not a JSON object.
+    A string column takes a nested object as its JSON text. A number may be quoted and may have a fraction, which a whole
+    number loses. A missing or unreadable number becomes ``number_default``; pass None to keep it null. ``malformed``
+    names an extra column that holds text which is not a JSON object.
     """
-    fields = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    numeric = [isinstance(f.dataType, T.NumericType) for f in schema.fields]
+    # Numbers are read as text first, however they are spelled.
+    read_as = [T.StructField(f.name, T.StringType() if n else f.dataType) for f, n in zip(schema.fields, numeric)]
+    fields = T.StructType([*read_as, T.StructField(_BAD, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     # Filters are not moved below an explode, so a filter on a parsed field does not parse the text a second time.
     parsed = df.withColumn("_json", F.explode(F.array(F.from_json(column, fields, options))))
 
     def read(field: T.StructField) -> Column:
         value = F.col("_json")[field.name]
+        if isinstance(field.dataType, T.IntegralType):
+            value = value.try_cast("decimal(38,6)").try_cast(field.dataType)
+        elif isinstance(field.dataType, T.NumericType):
+            value = value.try_cast(field.dataType)
         if number_default is not None and isinstance(field.dataType, T.NumericType):
             value = F.coalesce(value, F.lit(number_default).cast(field.dataType))
         return value.alias(field.name)
@@ -40,15 +48,27 @@ def parse_json(
 
 
 def json_fields(text: Column) -> Column:
-    """A JSON object as a map from field name to value; null for anything else."""
-    return F.from_json(text, "map<string,variant>")
+    """A JSON object as a map from field name to value, the last one of a repeated name; null for anything else."""
+    entries = F.map_entries(F.from_json(text, "map<string,variant>"))
+
+    def is_last(entry: Column, place: Column) -> Column:
+        after = F.slice(entries, place + 2, F.size(entries))
+        return ~F.exists(after, lambda other: other["key"] == entry["key"])
+
+    return F.map_from_entries(F.filter(entries, is_last))
+
+
+def _may_repeat(text: Column) -> Column:
+    """Whether a name, or a text like one, stands twice in the object."""
+    names = F.regexp_extract_all(text, F.lit(r'"((?:[^"\\]|\\.)*)"\s*:'))
+    return F.size(F.array_distinct(names)) < F.size(names)
 
 
 def put_fields(text: Column, **added: Column) -> Column:
     """Set text fields of a JSON object given as text; null for anything else. Null values are left out.
 
-    Usually the new fields are only appended to the text. Where a name may be there already, or a null would have to go,
-    the object is taken apart and put together again.
+    Usually the new fields are only appended to the text. Where a name may be there already or twice, a null would have to
+    go, or a number may be spelled in several ways, the object is taken apart and put together again.
     """
     names = list(added)
     rest = F.map_filter(json_fields(text), lambda name, _: ~name.isin(names))
@@ -57,7 +77,7 @@ def put_fields(text: Column, **added: Column) -> Column:
 
     rebuild = (
         ~(text.startswith("{") & text.endswith("}")) | F.substring(text, -2, 1).isin(" ", "\t", "\r", "\n")
-        | text.contains("null") | text.contains("\\u") | F.coalesce(*[v.cast("string") for v in added.values()]).isNull()
+        | text.contains("null") | text.contains("\\u") | text.rlike(r"\d[.eE]|-0") | _may_repeat(text) | F.coalesce(*[v.cast("string") for v in added.values()]).isNull()
     )
     for name in names:
         rebuild = rebuild | text.contains(f'"{name}"')

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import DATE_FORMAT, DATETIME_FORMAT
+from ..functions.dates import millis_timestamp
 from ..session import materialize
 from .joins import sized_join
 
@@ -42,7 +44,8 @@ def tumbling_count(
 
 
 def event_time(millis: str = "time") -> Column:
-    return F.timestamp_millis(F.col(millis))
+    """Null for a value beyond Spark's clock; a window never takes such a row."""
+    return millis_timestamp(F.col(millis))
 
 
 def _in_order(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
@@ -107,16 +110,31 @@ def count_window_rest(df: DataFrame, n: int, order: Sequence[str], keys: Sequenc
 
 
 def apply_windows(
-    windows: DataFrame, fn: Callable, schema, keys: Sequence[str] = ()
+    windows: DataFrame, fn: Callable, schema, keys: Sequence[str] = (), *, per_group: int = 10_000
 ) -> DataFrame:
-    """Run ``fn(pandas frame) -> pandas frame`` on each window of :func:`count_window`, in window order.
+    """Run ``fn(pandas frame) -> pandas frame`` on whole windows of :func:`count_window`.
 
-    A group is one window of ``n`` rows, never more.
+    A frame holds many windows, told apart by ``window_no`` and the keys, each in window order; it holds about an Arrow batch
+    of rows, so there is no call per window. ``per_group`` consecutive windows of a key stay in one task.
     """
-    def in_order(frame):
-        return fn(frame.sort_values("window_pos").reset_index(drop=True))
-
-    return windows.groupBy(*keys, "window_no").applyInPandas(in_order, schema)
+    names = [*keys, "window_no"]
+
+    def run(frames):
+        held = None
+        for frame in frames:
+            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            # The last window may go on in the next batch.
+            last = (frame[names].fillna("") == frame[names].iloc[-1].fillna("")).all(axis=1).to_numpy()
+            cut = len(frame) - int(last[::-1].argmin() if not last.all() else len(frame))
+            held = frame.iloc[cut:]
+            if cut:
+                yield fn(frame.iloc[:cut].reset_index(drop=True))
+        if held is not None and len(held):
+            yield fn(held.reset_index(drop=True))
+
+    group = F.expr(f"window_no div {int(per_group)}")
+    dealt = windows.repartition(*keys, group).sortWithinPartitions(*names, "window_pos")
+    return dealt.mapInPandas(run, schema)
 
 
 def mark_late(df: DataFrame, ts: str, order: Sequence[str], size_ms: int, delay_ms: int) -> DataFrame:

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import constants as C
 from ..operators import cdc, geo, lookup, marts, parse, routing
+from ..session import materialize, scratch
 from ..sources.config import ConfigLoader
 from ..streaming.dimensions import DimensionStore
 
@@ -22,7 +23,28 @@ def _start(writer, every: str | None) -> StreamingQuery:
 
 
 def _each_batch(stream: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str, every: str | None):
-    return _start(stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(work), every)
+    def scoped(batch: DataFrame, batch_id: int) -> None:
+        with scratch(batch.sparkSession):  # what a batch stores on its way goes with the batch
+            work(batch, batch_id)
+
+    return _start(stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(scoped), every)
+
+
+def _malformed(batch: DataFrame) -> DataFrame:
+    """The records whose text is not a JSON object, for the topic ``malformed``."""
+    found = parse.parse_json(batch, cdc.ENVELOPE, number_default=None, malformed="_text").filter(F.col("_text").isNotNull())
+    return found.select(F.lit(None).cast("string").alias("key"), F.col("_text").alias("value"), F.lit(routing.MALFORMED).alias("topic"))
+
+
+def malformed_records(
+    source: DataFrame, sink, checkpoint: str, *, name: str = "malformed", every: str | None = None
+) -> StreamingQuery:
+    """Records that are no JSON object -> topic ``malformed``; beside the heat and revenue jobs, which leave them out."""
+    return _start(sink.write_stream(_malformed(source), name, checkpoint), every)
+
+
+def _well_formed(source: DataFrame, schema: T.StructType) -> DataFrame:
+    return parse.parse_json(source, schema, malformed="_text").filter(F.col("_text").isNull()).drop("_text")
 
 
 def user_log_to_dwd(
@@ -42,34 +64,50 @@ def cdc_to_dwd(
         spark = batch.sparkSession
         matched = cdc.classify(cdc.parse_changes(batch), load_config(spark))
         wanted = cdc.wanted_kinds(matched, fact_ops)
-        sink.write_batch(cdc.flat_records(wanted) if flat else cdc.records(wanted), name, batch_id)
+        good = cdc.flat_records(wanted) if flat else cdc.records(wanted)
+        sink.write_batch(good.unionByName(_malformed(batch)), name, batch_id)
 
     return _each_batch(source, work, checkpoint, every)
 
 
-def dim_upsert(source: DataFrame, store: DimensionStore, checkpoint: str, *, every: str | None = None) -> StreamingQuery:
-    """Dimension records -> cleansed snapshots, last change per key."""
-    fields = cdc.ENVELOPE
-    for column in ("pk_col", "cols", "phoenix_tbl_name"):
-        fields = type(fields)([*fields.fields, C.CONFIG_SCHEMA[column]])
+def dim_upsert(
+    source: DataFrame, store: DimensionStore, checkpoint: str, *, flat: bool = False, every: str | None = None
+) -> StreamingQuery:
+    """Dimension records -> cleansed snapshots, last change per key. ``flat`` reads what ``cdc_to_dwd(flat=True)`` writes.
+
+    All changes of a table in a batch are merged at once, whatever columns each of them is configured to give.
+    """
+    table = "phoenix_table_name" if flat else "phoenix_tbl_name"
+    extra = [T.StructField(n, T.StringType()) for n in ("pk_col", "cols", table)]
+    fields = T.StructType([*cdc.ENVELOPE.fields, *extra])
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        changes = parse.parse_json(batch, fields, number_default=None).persist()
-        try:
-            # As many rows as the configuration has dimension tables.
-            targets = cdc.wanted_ops(changes).select("phoenix_tbl_name", "pk_col", "cols").distinct().collect()
-            for table, pk, cols in targets:
-                store.upsert(changes, table, pk, cols, batch_id)
-        finally:
-            changes.unpersist()
+        arrival = [c for c in cdc.ARRIVAL if c in batch.columns]
+        changes = parse.parse_json(batch, fields, number_default=None, keep=[*arrival, F.col("value").alias("_text")])
+        if flat:
+            changes = changes.withColumn("data", F.col("_text")).withColumnRenamed(table, "phoenix_tbl_name")
+        changes = changes.drop("_text").filter("phoenix_tbl_name IS NOT NULL AND pk_col IS NOT NULL AND cols IS NOT NULL")
+        changes = materialize(changes, "changes")
+        # As many rows as the configuration has dimension tables and column lists.
+        targets: dict[tuple[str, str], set[str]] = {}
+        for name, pk, cols in cdc.wanted_ops(changes).select("phoenix_tbl_name", "pk_col", "cols").distinct().collect():
+            targets.setdefault((name, pk), set()).add(cols)
+        for (name, pk), cols in sorted(targets.items()):
+            store.upsert(changes, name, pk, cols, batch_id)
 
     return _each_batch(source, work, checkpoint, every)
 
 
-def _enrich(source, schema, widen, sink, name, topic, checkpoint, every) -> StreamingQuery:
+def _enrich(source, schema, widen, added, sink, name, topic, checkpoint, every) -> StreamingQuery:
+    """Put the ``added`` columns of the widened rows into each record's text; its other fields stay as they are."""
     def work(batch: DataFrame, batch_id: int) -> None:
-        wide = widen(parse.parse_json(batch, schema, number_default=None))
-        sink.write_batch(parse.to_records(wide, topic=topic), name, batch_id)
+        parsed = parse.parse_json(batch, schema, number_default=None, keep=[F.col("value").alias("_text")], malformed="_bad")
+        wide = widen(parsed.filter(F.col("_bad").isNull()).drop("_bad"))
+        good = wide.select(
+            F.lit(None).cast("string").alias("key"), parse.put_fields(F.col("_text"), **{c: F.col(c) for c in added}).alias("value"),
+            F.lit(topic).alias("topic"),
+        )
+        sink.write_batch(good.unionByName(_malformed(batch)), name, batch_id)
 
     return _each_batch(source, work, checkpoint, every)
 
@@ -81,9 +119,9 @@ def song_play_wide(
     """Plays -> plays with song information from the newest snapshot."""
     def widen(plays: DataFrame) -> DataFrame:
         songs = store.read(C.DIM_SONG, ["source_id", *columns])
-        return lookup.song_play_wide(plays, songs, columns, small=store.is_small(C.DIM_SONG))
+        return lookup.song_play_wide(plays, songs, columns, unique=True, small=store.is_small(C.DIM_SONG))
 
-    return _enrich(source, C.PLAY_SCHEMA, widen, sink, name, C.DWS_PLAY, checkpoint, every)
+    return _enrich(source, C.PLAY_SCHEMA, widen, columns, sink, name, C.DWS_PLAY, checkpoint, every)
 
 
 def login_wide(
@@ -94,7 +132,7 @@ def login_wide(
     def widen(logins: DataFrame) -> DataFrame:
         return geo.reverse_geocode(logins, index)
 
-    return _enrich(source, C.LOGIN_SCHEMA, widen, sink, name, C.DWS_LOGIN, checkpoint, every)
+    return _enrich(source, C.LOGIN_SCHEMA, widen, geo.PLACE_COLUMNS, sink, name, C.DWS_LOGIN, checkpoint, every)
 
 
 def order_wide(
@@ -108,10 +146,10 @@ def order_wide(
             orders,
             store.read(C.DIM_MACHINE_LOCAL, ["mid", *C.LOCATION_COLUMNS]),
             store.read(C.DIM_MACHINE_ADMIN, ["machine_num", *C.CONTRACT_COLUMNS]),
-            strict=strict, small=small or None,
+            strict=strict, unique=True, small=small or None,
         )
 
-    return _enrich(source, C.ORDER_SCHEMA, widen, sink, name, C.DWS_ORDER, checkpoint, every)
+    return _enrich(source, C.ORDER_SCHEMA, widen, [*C.LOCATION_COLUMNS, *C.CONTRACT_COLUMNS], sink, name, C.DWS_ORDER, checkpoint, every)
 
 
 def song_hot(
@@ -119,7 +157,7 @@ def song_hot(
     size: str = "5 seconds", delay: str = "3 seconds", every: str | None = None,
 ) -> StreamingQuery:
     """Wide plays -> plays per song and window."""
-    heat = marts.song_heat(parse.parse_json(source, C.PLAY_WIDE_SCHEMA), size=size, delay=delay)
+    heat = marts.song_heat(_well_formed(source, C.PLAY_WIDE_SCHEMA), size=size, delay=delay)
     rows = heat.drop("window_start", "window_end")
     return _each_batch(rows, lambda df, i: mart.write_batch(df, C.MART_SONG_HOT, i), checkpoint, every)
 
@@ -129,7 +167,7 @@ def login_hot(
     keys: Sequence[str] = marts.LOGIN_KEYS, size: str = "5 seconds", delay: str = "3 seconds", every: str | None = None,
 ) -> StreamingQuery:
     """Wide logins -> logins per place and window."""
-    heat = marts.login_heat(parse.parse_json(source, C.LOGIN_WIDE_SCHEMA), keys=keys, size=size, delay=delay)
+    heat = marts.login_heat(_well_formed(source, C.LOGIN_WIDE_SCHEMA), keys=keys, size=size, delay=delay)
     rows = heat.drop("window_start", "window_end")
     return _each_batch(rows, lambda df, i: mart.write_batch(df, C.MART_LOGIN, i), checkpoint, every)
 
@@ -138,7 +176,7 @@ def order_revenue(
     source: DataFrame, mart, checkpoint: str, *, dt_from: str = "bill_date", every: str | None = None
 ) -> StreamingQuery:
     """Wide orders -> the four parties' revenue, row by row."""
-    revenue = marts.order_revenue(parse.parse_json(source, C.ORDER_WIDE_SCHEMA), dt_from=dt_from)
+    revenue = marts.order_revenue(_well_formed(source, C.ORDER_WIDE_SCHEMA), dt_from=dt_from)
     return _each_batch(revenue, lambda df, i: mart.write_batch(df, C.MART_ORDER, i), checkpoint, every)
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +48,12 @@ def local_session(cores: str | int = "*", partitions: int = 8, **settings: str)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, and so share their folders."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """This application's folder below the shared checkpoint folder.
 
@@ -54,7 +63,7 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
         context.setCheckpointDir(base)
@@ -70,12 +79,32 @@ def drop_scratch(spark: SparkSession) -> None:
     SharedFiles(spark).delete(scratch_root(spark))
 
 
+_scope = threading.local()  # streaming queries run their batches in threads of their own
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables materialised inside are deleted at the end; nothing that reads them may be used after that."""
+    outer, mine = getattr(_scope, "paths", None), []
+    _scope.paths = mine
+    try:
+        yield
+    finally:
+        _scope.paths = outer
+        files = SharedFiles(spark)
+        for path in mine:
+            files.delete(path)
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once below the shared folder and read it back.
 
     This cuts the lineage for good: a lost executor cannot bring a different row order or different range borders.
-    Unlike a checkpoint, the table is columnar, so later passes read only the columns they need.
+    Unlike a checkpoint, the table is columnar, so later passes read only the columns they need. Inside of
+    :func:`scratch` it lasts as long as that.
     """
     path = scratch_path(df.sparkSession, label)
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,9 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..constants import RECORD_SCHEMA
-from ..streaming.once import write_batch_once
+from ..streaming.once import read_committed, write_batch_once
 
-_STORED_SCHEMA = T.StructType([*RECORD_SCHEMA.fields, T.StructField("batch", T.LongType())])
+# ``offset`` is the place of a record in its batch, so that batch and offset tell in which order records arrived.
+_STORED_SCHEMA = T.StructType([*RECORD_SCHEMA.fields, T.StructField("offset", T.LongType()), T.StructField("batch", T.LongType())])
 
 
 @dataclass(frozen=True)
@@ -57,8 +58,10 @@ class KafkaTopics:
 class FolderTopics:
     """Topics as Parquet files below a shared folder: ``<root>/<writer>/batch=<id>/topic=<topic>``.
 
-    Each writing job has its own folder. A batch appears there complete or not at all, and once, so delivery is exactly
-    once. Readers take the folder of one writer, or any folder of ``key, value`` files, and see the batches in order.
+    Each writing job has its own folder. A batch is committed there as a whole and once, so delivery is exactly once.
+    ``read`` takes committed batches only. A stream takes files as they appear, so on a store where moving a folder is a
+    copy it may see a file of a batch that is moved a second time after a crash. Readers take the folder of one writer, or
+    any folder of ``key, value`` files.
     """
 
     root: str
@@ -74,7 +77,7 @@ class FolderTopics:
         return reader.parquet(self.path(writer or topic)).filter(F.col("topic") == topic)
 
     def read(self, spark: SparkSession, topic: str, writer: str | None = None) -> DataFrame:
-        records = spark.read.schema(_STORED_SCHEMA).parquet(self.path(writer or topic))
+        records = read_committed(spark, self.path(writer or topic), _STORED_SCHEMA)
         return records.filter(F.col("topic") == topic)
 
     def write_stream(self, records: DataFrame, name: str, checkpoint: str):
@@ -84,7 +87,8 @@ class FolderTopics:
         )
 
     def write_batch(self, records: DataFrame, name: str, batch_id: int) -> None:
-        write_batch_once(records.select("key", "value", "topic"), self.path(name), batch_id, ["topic"])
+        placed = records.select("key", "value", "topic", F.monotonically_increasing_id().alias("offset"))
+        write_batch_once(placed, self.path(name), batch_id, ["topic"])
 
 
 @dataclass(frozen=True)

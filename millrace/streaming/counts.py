@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..fs import SharedFiles
 from ..operators.windows import arrival_positions, full_and_rest
-from ..session import materialize
-from .once import write_batch_once
+from ..session import scratch
+from .once import commit_record, committed_versions, job_id, write_batch_once
 
 
 @dataclass
@@ -29,23 +29,25 @@ class CountWindowStream:
     keys: Sequence[str] = ()
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        files = SharedFiles(self.spark)
+        files, job = SharedFiles(self.spark), job_id(self.spark)
         rest_path, out_path = f"{self.root}/rest", f"{self.root}/windows"
-        if files.exists(f"{rest_path}/batch={batch_id}") and files.exists(f"{out_path}/batch={batch_id}"):
+        done = committed_versions(self.spark, rest_path)
+        last = commit_record(files, rest_path, done[-1]) if done else None
+        if last and last["job"] == job and last["batch"] >= batch_id:
             return
-        done = [int(x.removeprefix("batch=")) for x in files.names(rest_path) if x.startswith("batch=")]
-        earlier = [v for v in sorted(done) if v < batch_id]
         rows = batch
-        if earlier:
-            left = self.spark.read.schema(batch.schema).parquet(f"{rest_path}/batch={earlier[-1]}")
+        if done:
+            left = self.spark.read.schema(batch.schema).parquet(f"{rest_path}/batch={done[-1]}")
             rows = left.unionByName(batch)
-        placed = materialize(arrival_positions(rows, self.order, self.keys), "windows")
-        full, rest = full_and_rest(placed, self.n, rows.columns)
-        write_batch_once(full, out_path, batch_id)
-        write_batch_once(rest, rest_path, batch_id)
-        for version in earlier[:-1]:
+        with scratch(self.spark):
+            full, rest = full_and_rest(arrival_positions(rows, self.order, self.keys), self.n, rows.columns)
+            # The rest is written last: until then a replay finds the same rows to start from.
+            write_batch_once(full, out_path, batch_id, job=job)
+            write_batch_once(rest, rest_path, batch_id, job=job)
+        for version in done[:-1]:
             files.delete(f"{rest_path}/batch={version}")
 
     def windows(self) -> DataFrame:
         """Everything emitted so far; a window is told by ``batch`` and ``window_no`` (and the keys)."""
-        return self.spark.read.parquet(f"{self.root}/windows")
+        folders = [f"{self.root}/windows/batch={v}" for v in committed_versions(self.spark, f"{self.root}/windows")]
+        return self.spark.read.option("basePath", f"{self.root}/windows").parquet(*folders)

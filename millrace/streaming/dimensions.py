@@ -2,85 +2,155 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Collection
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..fs import SharedFiles
-from ..operators.cdc import column_names, latest_dim_rows
-from ..operators.joins import fits_broadcast, sized_join
-from ..session import materialize
-from .once import write_batch_once
+from ..operators.cdc import latest_dim_columns
+from ..operators.joins import BROADCAST_BYTES, fits_broadcast, sized_join
+from ..session import materialize, scratch
+from .once import commit_record, committed_versions, job_id, write_batch_once
 
 
 @dataclass
 class DimensionStore:
-    """One Parquet snapshot per dimension and batch, ``<root>/<table>/batch=<id>``, all columns text, one row per key.
+    """Snapshots of dimension tables, all columns text, one row per key, in hash buckets of the key.
 
-    An upsert reads the newest snapshot before its own batch and writes the next one. A replayed batch finds its
-    snapshot written and does nothing. The last arrival wins: a change in a batch replaces the stored row, and among the
-    changes of one batch the latest by time, transaction and offset counts. The two newest snapshots are kept.
+    A version ``<root>/<table>/batch=<version>/bucket=<b>`` holds only the buckets that its batch changed; its commit record
+    says in which version each bucket of the whole table lies. So an upsert reads and writes the buckets of its keys, and
+    readers take the newest complete record. The last arrival wins, column by column: a batch replaces what it gives, and
+    keeps stored columns that its configuration does not name; among the changes of one batch the latest counts.
+
+    A replayed batch of the same streaming query does nothing. Old versions are deleted once no record needs them that is
+    among the ``keep`` newest or was replaced less than ``keep_seconds`` ago, so that running readers can finish.
     """
 
     spark: SparkSession
     root: str
     keep: int = 2
+    keep_seconds: float = 3600.0
+    buckets: int = 64
     _small: dict[str, bool] = field(default_factory=dict, repr=False)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
     def versions(self, table: str) -> list[int]:
-        names = SharedFiles(self.spark).names(self.path(table))
-        return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+        return committed_versions(self.spark, self.path(table))
 
-    def _snapshot(self, table: str, version: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path(table)}/batch={version}")
+    def _newest(self, table: str) -> tuple[int, dict | None]:
+        files = SharedFiles(self.spark)
+        names = files.names(self.path(table))
+        for version in sorted((int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")), reverse=True):
+            record = commit_record(files, self.path(table), version)
+            if record is not None:
+                return version, record
+        return -1, None
+
+    def _rows(self, table: str, record: dict, buckets: Collection[str]) -> DataFrame:
+        """The stored rows of these buckets; columns that came later are null in older rows."""
+        schema = ", ".join(f"`{c}` string" for c in record["columns"])
+        folders = [f"{self.path(table)}/batch={record['buckets'][b]}/bucket={b}" for b in buckets if b in record["buckets"]]
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
     def read(self, table: str, columns: list[str] | None = None) -> DataFrame:
         """The newest snapshot. Before the first one this is an empty table with ``columns``."""
-        versions = self.versions(table)
-        if versions:
-            return self._snapshot(table, versions[-1])
+        _, record = self._newest(table)
+        if record is not None:
+            return self._rows(table, record, record["buckets"])
         if columns is None:
             raise ValueError(f"{table} has no snapshot yet; name its columns to read it as empty")
         return self.spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
 
     def is_small(self, table: str) -> bool:
-        """Whether the newest snapshot fits a broadcast; measured once per snapshot."""
-        versions = self.versions(table)
-        if not versions:
+        """Whether the newest snapshot fits a broadcast; measured once per version, and only if its files are small."""
+        version, record = self._newest(table)
+        if record is None:
             return True
-        name = f"{table}/{versions[-1]}"
+        if record["bytes"] > BROADCAST_BYTES:
+            return False
+        name = f"{table}/{version}"
         if name not in self._small:
-            self._small[name] = fits_broadcast(self._snapshot(table, versions[-1]))
+            self._small[name] = fits_broadcast(self._rows(table, record, record["buckets"]))
         return self._small[name]
 
-    def upsert(self, changes: DataFrame, table: str, pk: str, cols: str, batch_id: int) -> bool:
-        """Merge the envelopes in ``changes`` that belong to ``table``; False if the batch was merged before.
+    def upsert(
+        self, changes: DataFrame, table: str, pk: str, cols: str | Collection[str], batch_id: int, *, job: str | None = None
+    ) -> bool:
+        """Merge the envelopes in ``changes`` that belong to ``table``; False if this job merged the batch before.
 
-        The stored rows are only filtered by the keys of the batch. As long as these fit a broadcast the snapshot is not
-        shuffled at all.
+        ``cols`` may be several column lists; a record gives those that its own ``cols`` names.
         """
-        versions = self.versions(table)
-        if batch_id in versions:
+        with scratch(self.spark):
+            fresh = latest_dim_columns(changes, table, pk, [cols] if isinstance(cols, str) else sorted(cols))
+            return self._merge(fresh, table, pk, batch_id, job_id(self.spark) if job is None else job)
+
+    def put(self, rows: DataFrame, table: str, pk: str, batch_id: int = 0, *, job: str = "load") -> bool:
+        """Merge whole rows, for a first load or a back-fill."""
+        given = [F.struct(F.col(c).cast("string").alias("value")).alias(c) for c in rows.columns if c != pk]
+        with scratch(self.spark):
+            return self._merge(rows.select(F.col(pk).cast("string").alias(pk), *given), table, pk, batch_id, job)
+
+    def _merge(self, fresh: DataFrame, table: str, pk: str, batch_id: int, job: str) -> bool:
+        version, record = self._newest(table)
+        if record is not None and record["job"] == job and record["batch"] >= batch_id:
             return False
-        earlier = [v for v in versions if v < batch_id]
-        fresh = latest_dim_rows(changes, table, pk, cols)
-        if earlier:
-            fresh = materialize(fresh, "changes")
-            old = self._snapshot(table, earlier[-1])
-            names = column_names(pk, cols)
-            # A column that the configuration gained since is null in older rows.
-            old = old.select(*[(F.col(c) if c in old.columns else F.lit(None).cast("string")).alias(c) for c in names])
-            merged = sized_join(old, fresh.select(pk), [pk], "left_anti", skewed=False).unionByName(fresh)
+        bucket = F.pmod(F.xxhash64(pk), F.lit(self.buckets)).cast("int")
+        fresh = materialize(fresh, "changes")
+        touched = [str(r[0]) for r in fresh.select(bucket).distinct().collect()]  # as many as there are buckets
+        names = [c for c in fresh.columns if c != pk]
+        columns = [pk, *names]
+        new = {c: F.col(c)["value"] for c in names}
+        if record is None:
+            merged, placed = fresh.select(pk, *[v.alias(c) for c, v in new.items()]), {}
         else:
-            merged = fresh
-        write_batch_once(merged, self.path(table), batch_id)
+            old = self._rows(table, record, touched)
+            columns = list(dict.fromkeys([*record["columns"], *columns]))
+            stays = sized_join(old, fresh.select(pk), [pk], "left_anti", skewed=False)
+            replaced = sized_join(old, fresh.select(pk), [pk], "left_semi", skewed=False)
+            had = replaced.select(pk, *[F.col(c).alias(f"_had_{c}") for c in record["columns"] if c != pk])
+            met = sized_join(fresh, had, [pk], "left", skewed=False)
+            stored = {c: F.col(f"_had_{c}") for c in record["columns"] if c != pk}
+            none = F.lit(None).cast("string")
+            value = {
+                c: F.when(F.col(c).isNotNull(), new[c]).otherwise(stored.get(c, none)) if c in new else stored[c]
+                for c in columns if c != pk
+            }
+            updated = met.select(pk, *[v.alias(c) for c, v in value.items()])
+            kept = stays.select(pk, *[(F.col(c) if c in stays.columns else none).alias(c) for c in columns if c != pk])
+            merged, placed = kept.unionByName(updated), record["buckets"]
+        facts = {
+            "columns": columns, "buckets": {**placed, **dict.fromkeys(touched, version + 1)}, "time": time.time(),
+            "bytes": 0,
+        }
+        laid = merged.withColumn("bucket", bucket).repartition("bucket")
+        done = write_batch_once(laid, self.path(table), batch_id, ["bucket"], job=job, facts=facts, sized=self._sizes(table, facts))
         self._prune(table)
-        return True
+        return done
+
+    def _sizes(self, table: str, facts: dict):
+        """Adds the bytes of all files that the record leads to, once those of its own version are known."""
+        def complete(version: int, written: dict[str, int]) -> dict:
+            files, total = SharedFiles(self.spark), sum(written.values())
+            for other in set(facts["buckets"].values()) - {version}:
+                record = commit_record(files, self.path(table), other) or {"files": {}}
+                mine = {f"bucket={b}" for b, v in facts["buckets"].items() if v == other}
+                total += sum(size for name, size in record["files"].items() if name.split("/")[0] in mine)
+            return {"bytes": total}
+
+        return complete
 
     def _prune(self, table: str) -> None:
         files = SharedFiles(self.spark)
-        for version in self.versions(table)[: -self.keep]:
+        records = {v: commit_record(files, self.path(table), v) for v in self.versions(table)}
+        order = sorted(records)
+        # A record is replaced when the next one is written.
+        replaced = {v: records[after]["time"] for v, after in zip(order, order[1:])}
+        limit = time.time() - self.keep_seconds
+        needed = {v for v in order if v in order[-self.keep:] or replaced[v] > limit}
+        needed |= {v for n in list(needed) for v in records[n]["buckets"].values()}
+        for version in set(order) - needed:
             files.delete(f"{self.path(table)}/batch={version}")

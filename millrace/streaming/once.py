@@ -1,25 +1,84 @@
-"""Writing a micro-batch exactly once."""
+"""Writing a micro-batch exactly once.
+
+A batch is a folder ``<path>/batch=<version>`` with the file ``_commit`` in it: the job and batch id that wrote it, and the
+names and sizes of its files. Versions only count up; they are not the batch ids of a job, so a job with a new checkpoint,
+or a second job, appends and is never taken for a replay. A folder counts only once its record is there and every file in
+that is, so half a folder, as a crash or a copying "rename" leaves it, is neither read nor taken for done: the replay of
+that batch removes and rewrites it.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..fs import SharedFiles
 
+RECORD = "_commit"
+
+
+def job_id(spark: SparkSession) -> str:
+    """What names a streaming query over all its restarts: the id that its checkpoint keeps. Empty outside of one."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
+def _versions(files: SharedFiles, path: str) -> list[int]:
+    return sorted(int(n.removeprefix("batch=")) for n in files.names(path) if n.startswith("batch="))
+
+
+def commit_record(files: SharedFiles, path: str, version: int) -> dict | None:
+    """The record of a complete version; None if it has none or lacks a file."""
+    folder = f"{path.rstrip('/')}/batch={version}"
+    text = files.read_text(f"{folder}/{RECORD}")
+    if text is None:
+        return None
+    record, there = json.loads(text), files.files(folder)
+    return record if all(there.get(name) == size for name, size in record["files"].items()) else None
+
+
+def committed_versions(spark: SparkSession, path: str) -> list[int]:
+    files = SharedFiles(spark)
+    return [v for v in _versions(files, path) if commit_record(files, path, v) is not None]
+
+
+def read_committed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All complete batches as one table with these columns; empty before the first."""
+    folders = [f"{path.rstrip('/')}/batch={v}" for v in committed_versions(spark, path)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
 
-def write_batch_once(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> bool:
-    """Write ``df`` as ``<path>/batch=<id>``; do nothing if that batch is already there.
+def write_batch_once(
+    df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (), *, job: str | None = None,
+    facts: Mapping[str, object] | None = None, sized: Callable[[int, dict[str, int]], dict] | None = None,
+) -> bool:
+    """Append ``df`` as the next version; False, and nothing done, if this job wrote this batch already.
 
-    The files are written to a hidden folder and moved into place in one step. A batch that is replayed after a failure
-    therefore neither changes nor doubles what readers may have taken already.
+    ``job`` is the streaming query that is running unless given. ``facts`` are put into the record, and what ``sized`` makes of the version and its files. The files are written to a
+    hidden folder and moved into place with the record among them. One writer at a time per ``path``.
     """
-    files = SharedFiles(df.sparkSession)
-    target = f"{path.rstrip('/')}/batch={batch_id}"
-    if files.exists(target):
-        return False
-    staging = f"{path.rstrip('/')}/_staging/{batch_id}"
+    spark = df.sparkSession
+    files, root = SharedFiles(spark), path.rstrip("/")
+    job = job_id(spark) if job is None else job
+    newest = -1
+    for version in reversed(_versions(files, root)):
+        record = commit_record(files, root, version)
+        if record is None:
+            continue
+        newest = max(newest, version)
+        if record["job"] == job:
+            # Batches of a job come in order, so its newest one tells.
+            if record["batch"] >= batch_id:
+                return False
+            break
+    staging, target = f"{root}/_staging/{newest + 1}", f"{root}/batch={newest + 1}"
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
+    written = {n: size for n, size in files.files(staging).items() if not n.rpartition("/")[2].startswith((".", "_"))}
+    record = {"job": job, "batch": batch_id, "files": written, **(facts or {}), **(sized(newest + 1, written) if sized else {})}
+    files.write_text(f"{staging}/{RECORD}", json.dumps(record))
+    files.delete(target)  # what an attempt left that did not get as far as its record
     files.rename(staging, target)
     return True

@@ -76,7 +76,7 @@ def test_format_date(rows):
     check(rows, dates.format_date, [
         ("2003-08-19 01:02:03", "2003-08-19 01:02:03"), ("2003-08-19 01:02:03.0", "2003-08-19 01:02:03"),
         ("0.0", "1970-01-01 00:00:00"), ("1620470362998", "2021-05-08 10:39:22"), ("1620470362998.9", "2021-05-08 10:39:22"),
-        ("1.620470362998E12", "2021-05-08 10:39:22"), ("-1000", "1969-12-31 23:59:59"), ("2003-08-19", ""),
+        ("1.620470362998E12", "2021-05-08 10:39:22"), ("-1000", "1969-12-31 23:59:59"), ("2003-08-19", ""), ("2021-5-1 8:03:00", "2021-05-01 08:03:00"), ("2021-5-1 8:3:0.5", "2021-05-01 08:03:00"),
         ("2003-13-19 00:00:00", ""), ("soon", ""), ("", ""), (None, ""), ("9" * 30, ""),
     ])
 
@@ -96,6 +96,8 @@ def test_address_leaves_out_missing_parts(rows):
 def test_epoch_texts(rows):
     df = rows([(1620470362998,)], "ms long").select(dates.epoch_date(F.col("ms")), dates.epoch_datetime(F.col("ms")))
     assert tuple(df.first()) == ("2021-05-08", "2021-05-08 10:39:22")
+    far = rows([(99999999999999999,)], "ms long").select(dates.epoch_date(F.col("ms")), dates.epoch_datetime(F.col("ms")))
+    assert tuple(far.first()) == (None, None)
 
 
 @pytest.mark.parametrize("amount, rate, want", [

@@ -147,7 +147,7 @@ def test_two_lookups_by_one_key_shuffle_the_facts_once(spark, rows):
     contracts = rows([], "machine_num string, " + ", ".join(f"{c} string" for c in C.CONTRACT_COLUMNS))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = order_wide(orders, places, contracts, small=False)._jdf.queryExecution().executedPlan().toString()
+        plan = order_wide(orders, places, contracts, small=False, unique=True)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning(_mid") == 3
@@ -173,3 +173,25 @@ def test_adaptive_execution_splits_a_hot_key(spark):
     finally:
         for name in names:
             spark.conf.unset(name)
+
+
+def test_a_doubled_key_does_not_double_facts(rows):
+    from millrace.operators import lookup_join
+
+    facts = rows([("1",), ("2",)], "k string")
+    dim = rows([("1", "old", 1), ("1", "new", 2)], "k string, v string, at int")
+    for latest, want in ((["at"], "new"), (None, "old")):
+        got = lookup_join(facts, dim, ("k", "k"), ["v"], latest=latest).collect()
+        assert sorted(map(tuple, got)) == [("1", want), ("2", "无信息")]
+
+
+def test_strict_orders_need_a_province_and_a_rate(rows):
+    from millrace import constants as C
+    from millrace.operators import order_wide
+
+    orders = rows([(1, 1), (2, 2), (3, 3)], "id long, mid long")
+    places = rows([("1", "p", "c"), ("2", None, "c"), ("3", "p", "c")], "mid string, province string, city string")
+    contract = [(m, "n", "p", r, "1", "1", "1", "s", None) for m, r in (("1", "40"), ("2", "40"), ("3", None))]
+    contracts = rows(contract, "machine_num string, " + ", ".join(f"{c} string" for c in C.CONTRACT_COLUMNS))
+    assert [r["id"] for r in order_wide(orders, places, contracts, strict=True).collect()] == [1]
+    assert order_wide(orders, places, contracts).count() == 3

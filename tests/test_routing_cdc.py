@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from millrace import constants as C
 from millrace.operators import cdc, parse, routing
@@ -195,3 +195,39 @@ def test_put_fields(rows, value, new):
         return
     want = {k: v for k, v in json.loads(value).items() if k != "ts" and v is not None}
     assert json.loads(got) == {**want, "x": "1", **({"ts": new} if new else {})}
+
+
+def test_the_last_change_of_a_transaction_wins(spark, rows):
+    """Records of a transaction count up; the one that commits it carries no offset. Equal records go by arrival."""
+    def record(name, xoffset=None, commit=None, offset=0, ts=1):
+        return (json.dumps({"source_id": "a", "name": name}), "update", C.DIM_SONG, ts, 1, xoffset, commit, offset)
+
+    schema = "data string, type string, phoenix_tbl_name string, ts long, xid long, xoffset long, commit boolean, offset long"
+    for changes, last in (
+        ([record("first", 0), record("second", 1), record("last", None, True)], "last"),
+        ([record("z", offset=1), record("a", offset=2)], "a"),
+        ([record("z", None, True, ts=1), record("a", 0, ts=2)], "a"),
+    ):
+        for order in (changes, changes[::-1]):
+            got = cdc.latest_dim_rows(rows(order, schema), C.DIM_SONG, "source_id", "source_id,name").collect()
+            assert [r["name"] for r in got] == [last]
+
+
+def test_put_fields_on_odd_texts(rows):
+    cases = {
+        '{"a":1,"a":2,"ts":3}': {"a": 2, "ts": "9"}, '{"a":1.50}': {"a": 1.5, "ts": "9"}, '{"a":1e3}': {"a": 1000, "ts": "9"},
+        '{"a":null,"b":1.50}': {"b": 1.5, "ts": "9"}, '{"a":{"x":1},"b":{"x":1}}': {"a": {"x": 1}, "b": {"x": 1}, "ts": "9"}, "[1]": None,
+        '{"a":"q\\"ts\\":","b":1}': {"a": 'q"ts":', "b": 1, "ts": "9"},
+    }
+    got = rows([(t,) for t in cases], "t string").select("t", parse.put_fields(F.col("t"), ts=F.lit("9")).alias("v")).collect()
+    assert {r["t"]: r["v"] and json.loads(r["v"]) for r in got} == cases
+    # One spelling, whether the object is taken apart or not.
+    texts = rows([('{"a":1.50}',), ('{"a":1.50,"b":null}',)], "t string").select(parse.put_fields(F.col("t"), ts=F.lit("9")).alias("v"))
+    assert len({r["v"] for r in texts.collect()}) == 1
+
+
+def test_numbers_as_the_getters_read_them(rows):
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("d", T.DoubleType())])
+    texts = ['{"n":"1620985690304","d":"2.5"}', '{"n":3.9,"d":3}', '{"n":-3.9}', '{"n":1e3,"d":"x"}', '{"n":"x","d":{"y":1}}', '{"n":99999999999999999999}']
+    got = parse.parse_json(rows([(t,) for t in texts], "value string"), schema).collect()
+    assert [tuple(r) for r in got] == [(1620985690304, 2.5), (3, 3.0), (-3, 0.0), (1000, 0.0), (0, 0.0), (0, 0.0)]

@@ -15,7 +15,7 @@ from millrace.sources.marts import ConsoleMarts, JdbcMarts, ParquetMarts
 from millrace.sources.topics import ConsoleTopics, FolderTopics, KafkaTopics
 from millrace.streaming.counts import CountWindowStream
 from millrace.streaming.dimensions import DimensionStore
-from millrace.streaming.once import write_batch_once
+from millrace.streaming.once import read_committed, write_batch_once
 
 
 @pytest.fixture
@@ -77,7 +77,7 @@ def stored(store):
 
 
 def test_snapshots(spark, rows, tmp_path):
-    store = DimensionStore(spark, str(tmp_path))
+    store = DimensionStore(spark, str(tmp_path), keep_seconds=0, buckets=1)
     assert store.read(C.DIM_SONG, ["source_id", "name"]).count() == 0 and store.is_small(C.DIM_SONG)
     store.upsert(songs(rows, ("a", "1", 1), ("a", "2", 2), ("b", "1", 1)), C.DIM_SONG, *SONGS, 0)
     assert stored(store) == {"a": "2", "b": "1"}
@@ -87,7 +87,60 @@ def test_snapshots(spark, rows, tmp_path):
     assert not store.upsert(songs(rows, ("a", "wrong", 99)), C.DIM_SONG, *SONGS, 1)
     assert stored(store) == {"a": "2", "b": "9", "c": None}
     store.upsert(songs(rows, ("d", "1", 1)), C.DIM_SONG, *SONGS, 5)
-    assert store.versions(C.DIM_SONG) == [1, 5] and len(stored(store)) == 4
+    assert store.versions(C.DIM_SONG) == [1, 2] and len(stored(store)) == 4
+
+
+def test_a_new_checkpoint_appends(spark, rows, tmp_path):
+    """Batch ids begin anew with a new checkpoint; nothing may be taken for a replay then."""
+    path = str(tmp_path / "out")
+    assert write_batch_once(spark.range(3), path, 7, job="old")
+    assert write_batch_once(spark.range(10), path, 0, job="new") and not write_batch_once(spark.range(9), path, 0, job="new")
+    assert not write_batch_once(spark.range(9), path, 7, job="old")
+    assert spark.read.parquet(path).count() == 13
+    store = DimensionStore(spark, str(tmp_path / "dims"), keep_seconds=0)
+    for batch in (41, 42):
+        assert store.upsert(songs(rows, ("a", str(batch), 1)), C.DIM_SONG, *SONGS, batch, job="old")
+    assert store.upsert(songs(rows, ("b", "new", 1)), C.DIM_SONG, *SONGS, 0, job="new")
+    assert stored(store) == {"a": "42", "b": "new"}
+
+
+def test_half_a_batch_is_neither_read_nor_taken_for_done(spark, tmp_path):
+    path, schema = str(tmp_path / "out"), spark.range(1).schema
+    write_batch_once(spark.range(3), path, 0)
+    write_batch_once(spark.range(5).repartition(2), path, 1)
+    (next((tmp_path / "out" / "batch=1").glob("part-*.parquet"))).unlink()  # a copy that stopped half way
+    spark.range(4).write.parquet(f"{path}/batch=2")  # one without a record
+    assert read_committed(spark, path, schema).count() == 3
+    assert write_batch_once(spark.range(5), path, 1)
+    assert read_committed(spark, path, schema).count() == 8
+
+
+def test_stored_columns_survive_a_narrower_configuration(spark, rows, tmp_path):
+    store = DimensionStore(spark, str(tmp_path))
+    store.upsert(songs(rows, ("a", "1", 1), ("b", "2", 1)), C.DIM_SONG, *SONGS, 0)
+    store.upsert(songs(rows, ("a", "ignored", 2), ("c", "ignored", 2)), C.DIM_SONG, "source_id", "source_id", 1)
+    assert stored(store) == {"a": "1", "b": "2", "c": None}
+
+
+def test_an_upsert_rewrites_the_buckets_of_its_keys(spark, rows, tmp_path):
+    store = DimensionStore(spark, str(tmp_path), keep_seconds=0)
+    store.upsert(songs(rows, *[(str(k), "1", 1) for k in range(200)]), C.DIM_SONG, *SONGS, 0)
+    store.upsert(songs(rows, ("7", "2", 1)), C.DIM_SONG, *SONGS, 1)
+    assert len(list((tmp_path / C.DIM_SONG / "batch=1").glob("bucket=*"))) == 1
+    assert stored(store) == {str(k): "2" if k == 7 else "1" for k in range(200)}
+    for batch in range(2, 5):
+        store.upsert(songs(rows, ("7", str(batch), 1)), C.DIM_SONG, *SONGS, batch)
+    # Version 0 still holds the other buckets; of the rest the two newest are left.
+    assert store.versions(C.DIM_SONG) == [0, 3, 4] and len(stored(store)) == 200
+
+
+def test_batches_leave_no_scratch(spark, rows, tmp_path, monkeypatch):
+    from millrace import session
+
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path / "scratch"))
+    DimensionStore(spark, str(tmp_path / "dims")).upsert(songs(rows, ("a", "1", 1)), C.DIM_SONG, *SONGS, 0)
+    CountWindowStream(spark, str(tmp_path / "w"), 2, ["n"])(rows([(k,) for k in range(5)], "n int"), 0)
+    assert (tmp_path / "scratch").exists() and not list((tmp_path / "scratch").iterdir())
 
 
 def test_a_snapshot_gains_a_configured_column(spark, rows, tmp_path):
@@ -175,6 +228,42 @@ def test_changes_to_dimensions_and_facts(spark, topic, tmp_path):
     assert [tuple(r) for r in store.read(C.DIM_MACHINE_LOCAL).collect()] == [("m", "湖南", "长沙", "湖南省长沙市")]
 
 
+def test_two_column_lists_in_one_batch(spark, topic, tmp_path):
+    store = DimensionStore(spark, str(tmp_path / "dims"))
+
+    def record(key, cols, ts, **data):
+        return {**change("song", {"source_id": key, **data}, "update", ts), "pk_col": "source_id", "cols": cols, "phoenix_tbl_name": C.DIM_SONG}
+
+    topic(record("a", "source_id,name", 1, name="1", album="no"), record("a", "source_id,album", 2, name="no", album="《x》"), record("b", "source_id,name", 1, name="2"))
+    jobs.dim_upsert(topic.stream(), store, str(tmp_path / "c")).awaitTermination()
+    assert {r["source_id"]: (r["name"], r["album"]) for r in store.read(C.DIM_SONG).collect()} == {"a": ("1", "《x》"), "b": ("2", None)}
+
+
+def test_flat_changes_reach_the_dimension(spark, topic, tmp_path):
+    out, store = FolderTopics(str(tmp_path / "out")), DimensionStore(spark, str(tmp_path / "dims"))
+    topic(change("song", {"source_id": "a", "name": "1"}), change("song", {"source_id": "a", "name": "2"}, "update", 2), "broken")
+    jobs.cdc_to_dwd(topic.stream(), config_from_rows(CONFIG), out, str(tmp_path / "c1"), flat=True).awaitTermination()
+    jobs.dim_upsert(out.read_stream(spark, C.DWD_DIM, "dwd_changes"), store, str(tmp_path / "c2"), flat=True).awaitTermination()
+    assert stored(store) == {"a": "2"}
+    assert [r["value"] for r in out.read(spark, "malformed", "dwd_changes").collect()] == ["broken"]
+
+
+def test_enriched_records_keep_fields_and_odd_records_do_not_end_a_job(spark, topic, tmp_path):
+    out, store, mart = FolderTopics(str(tmp_path / "out")), DimensionStore(spark, str(tmp_path / "dims")), ParquetMarts(str(tmp_path / "mart"))
+    store.put(spark.createDataFrame([("s", "甲")], "source_id string, singer_info string"), C.DIM_SONG, "source_id")
+    topic({"songid": "s", "songname": "n", "time": "1000", "ui_version": "1.50", "new": {"a": 1}}, "junk",
+          '{"songid":"s","songid":"t","songname":"n","time":99999999999999999}', {"songid": "s", "songname": "n", "time": 2000.0})
+    topic({"songid": "s", "songname": "n", "time": 60000})
+    jobs.song_play_wide(topic.stream(), store, out, str(tmp_path / "c1")).awaitTermination()
+    wide = values(out.read(spark, C.DWS_PLAY, "dws_song_play"))
+    assert {"songid": "s", "songname": "n", "time": "1000", "ui_version": "1.50", "new": {"a": 1}, "singer_info": "甲"} in wide and len(wide) == 4
+    assert [r["value"] for r in out.read(spark, "malformed", "dws_song_play").collect()] == ["junk"]
+    jobs.song_hot(topic.stream(), mart, str(tmp_path / "c2")).awaitTermination()
+    assert [r["song_playtimes"] for r in mart.read(spark, C.MART_SONG_HOT).collect()] == [2]
+    jobs.malformed_records(topic.stream(), out, str(tmp_path / "c3")).awaitTermination()
+    assert [r["value"] for r in out.read(spark, "malformed", "malformed").collect()] == ["junk"]
+
+
 def test_flat_changes(spark, topic, tmp_path):
     out = FolderTopics(str(tmp_path / "out"))
     topic(change("orders", {"id": 1}, ts=7))
@@ -184,9 +273,9 @@ def test_flat_changes(spark, topic, tmp_path):
 
 def test_orders_to_revenue(spark, topic, tmp_path):
     out, store, mart = FolderTopics(str(tmp_path / "out")), DimensionStore(spark, str(tmp_path / "dims")), ParquetMarts(str(tmp_path / "mart"))
-    spark.createDataFrame([("5", "湖南", "长沙")], "mid string, province string, city string").write.parquet(store.path(C.DIM_MACHINE_LOCAL) + "/batch=0")
+    store.put(spark.createDataFrame([("5", "湖南", "长沙")], "mid string, province string, city string"), C.DIM_MACHINE_LOCAL, "mid")
     contract = [("5", "m", "p", "40.0", "30", "20", "10", "scene", None)]
-    spark.createDataFrame(contract, "machine_num string, " + ", ".join(f"{c} string" for c in C.CONTRACT_COLUMNS)).write.parquet(store.path(C.DIM_MACHINE_ADMIN) + "/batch=0")
+    store.put(spark.createDataFrame(contract, "machine_num string, " + ", ".join(f"{c} string" for c in C.CONTRACT_COLUMNS)), C.DIM_MACHINE_ADMIN, "machine_num")
     topic({"id": 1, "mid": 5, "amount": 300, "pkg_name": "单曲", "bill_date": "20200105"})
     topic({"id": 2, "mid": 6, "amount": 10.55, "bill_date": "20200106"})
     jobs.order_wide(topic.stream(), store, out, str(tmp_path / "c1")).awaitTermination()

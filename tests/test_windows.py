@@ -73,16 +73,21 @@ def test_many_partitions_give_the_same_ranks(spark, arrivals):
     assert got == {i: n for ids in ranked(data, True).values() for n, i in enumerate(ids)}
 
 
-def test_apply_windows_sees_each_window_in_order(arrivals):
+@pytest.mark.parametrize("batch", ["7", "10000"])
+def test_apply_windows_sees_whole_windows_in_order(spark, arrivals, batch):
     data, df = arrivals
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
 
-    def summary(window: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"window_no": window["window_no"][:1], "ids": [",".join(map(str, window["id"]))]})
+    def summary(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame.groupby("window_no", as_index=False, sort=False).agg(ids=("id", lambda x: ",".join(map(str, x))))
 
     got = apply_windows(count_window(df, 10, ["at", "id"]), summary, "window_no long, ids string")
     ids = ranked(data, False)[0]
     want = {n: ",".join(map(str, ids[n * 10:n * 10 + 10])) for n in range(len(ids) // 10)}
-    assert {r["window_no"]: r["ids"] for r in got.collect()} == want
+    rows = got.collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(rows) == len(want) and {r["window_no"]: r["ids"] for r in rows} == want
 
 
 def brute_late(times, size, delay):
