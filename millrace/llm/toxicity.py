@@ -171,7 +171,7 @@ def _linear(text: np.ndarray, term: np.ndarray, wanted: np.ndarray, features: in
     """Weights, and the bias last, of a logistic regression on soft labels; full-batch Adam, small ridge."""
     weights, first, second = (np.zeros(features + 1) for _ in range(3))
     rows = max(len(wanted), 1)
-    share = np.clip((wanted.sum() + 1) / (rows + 2), 0.001, 0.999)
+    share = np.clip((wanted.sum() + 1) / (len(wanted) + 2), 0.001, 0.999)
     weights[-1] = np.log(share / (1 - share))
     for step in range(1, 301):
         score = np.bincount(text, weights[term], len(wanted)) + weights[-1]
