@@ -31,12 +31,16 @@ def login_heat(
     return tumbling_count(timed, "_ts", keys, size=size, delay=delay, counts=("login_times",))
 
 
-def order_revenue(orders: DataFrame, *, dt_from: str = "bill_date") -> DataFrame:
+def order_revenue(orders: DataFrame, *, dt_from: str = "bill_date", address_from: str = "contract") -> DataFrame:
     """One mart row per wide order: the amount and what each of the four parties gets of it.
 
     ``data_dt`` is the bill date as it is or, with ``dt_from="action_time"``, the date of an action time that is
-    either epoch milliseconds or ``yyyyMMddHHmmss``.
+    either epoch milliseconds or ``yyyyMMddHHmmss``. ``address_from="place"`` takes the ``address`` that the place
+    dimension gave the order instead of the contract's scene.
     """
+    if address_from not in ("contract", "place"):
+        raise ValueError("address_from must be 'contract' or 'place'")
+    address = join_address(F.col("scene_address"), F.col("ground_name")) if address_from == "contract" else F.col("address")
     if dt_from == "bill_date":
         data_dt = F.col("bill_date")
     elif dt_from == "action_time":
@@ -47,7 +51,7 @@ def order_revenue(orders: DataFrame, *, dt_from: str = "bill_date") -> DataFrame
         raise ValueError("dt_from must be 'bill_date' or 'action_time'")
     return orders.select(
         "province", "city",
-        join_address(F.col("scene_address"), F.col("ground_name")).alias("address"),
+        address.alias("address"),
         F.col("mid").cast("string").alias("mid"),
         "machine_name", "pkg_name",
         F.col("amount").cast(C.MONEY).alias("amount"),

@@ -137,19 +137,20 @@ def login_wide(
 
 def order_wide(
     source: DataFrame, store: DimensionStore, sink, checkpoint: str, *,
-    strict: bool = False, name: str = "dws_order", every: str | None = None,
+    strict: bool = False, location_columns: Sequence[str] = tuple(C.LOCATION_COLUMNS), name: str = "dws_order",
+    every: str | None = None,
 ) -> StreamingQuery:
     """Orders -> orders with the place and contract of their machine."""
     def widen(orders: DataFrame) -> DataFrame:
         small = store.is_small(C.DIM_MACHINE_LOCAL) and store.is_small(C.DIM_MACHINE_ADMIN)
         return lookup.order_wide(
             orders,
-            store.read(C.DIM_MACHINE_LOCAL, ["mid", *C.LOCATION_COLUMNS]),
+            store.read(C.DIM_MACHINE_LOCAL, ["mid", *location_columns]),
             store.read(C.DIM_MACHINE_ADMIN, ["machine_num", *C.CONTRACT_COLUMNS]),
-            strict=strict, unique=True, small=small or None,
+            location_columns=location_columns, strict=strict, unique=True, small=small or None,
         )
 
-    return _enrich(source, C.ORDER_SCHEMA, widen, [*C.LOCATION_COLUMNS, *C.CONTRACT_COLUMNS], sink, name, C.DWS_ORDER, checkpoint, every)
+    return _enrich(source, C.ORDER_SCHEMA, widen, [*location_columns, *C.CONTRACT_COLUMNS], sink, name, C.DWS_ORDER, checkpoint, every)
 
 
 def song_hot(
@@ -173,10 +174,12 @@ def login_hot(
 
 
 def order_revenue(
-    source: DataFrame, mart, checkpoint: str, *, dt_from: str = "bill_date", every: str | None = None
+    source: DataFrame, mart, checkpoint: str, *, dt_from: str = "bill_date", address_from: str = "contract",
+    every: str | None = None,
 ) -> StreamingQuery:
     """Wide orders -> the four parties' revenue, row by row."""
-    revenue = marts.order_revenue(_well_formed(source, C.ORDER_WIDE_SCHEMA), dt_from=dt_from)
+    schema = C.ORDER_WIDE_SCHEMA if address_from == "contract" else T.StructType([*C.ORDER_WIDE_SCHEMA, T.StructField("address", T.StringType())])
+    revenue = marts.order_revenue(_well_formed(source, schema), dt_from=dt_from, address_from=address_from)
     return _each_batch(revenue, lambda df, i: mart.write_batch(df, C.MART_ORDER, i), checkpoint, every)
 
 

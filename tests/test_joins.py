@@ -195,3 +195,15 @@ def test_strict_orders_need_a_province_and_a_rate(rows):
     contracts = rows(contract, "machine_num string, " + ", ".join(f"{c} string" for c in C.CONTRACT_COLUMNS))
     assert [r["id"] for r in order_wide(orders, places, contracts, strict=True).collect()] == [1]
     assert order_wide(orders, places, contracts).count() == 3
+
+
+def test_revenue_with_the_address_of_the_place(rows):
+    from millrace import constants as C
+    from millrace.operators import order_revenue, order_wide
+
+    orders = rows([(1, 5, 300.0, "n", "20200105")], "id long, mid long, amount double, pkg_name string, bill_date string")
+    places = rows([("5", "p", "c", "street")], "mid string, province string, city string, address string")
+    contracts = rows([("5", "n", "p", "40", "30", "20", "10", "scene", None)], "machine_num string, " + ", ".join(f"{c} string" for c in C.CONTRACT_COLUMNS))
+    wide = order_wide(orders, places, contracts, location_columns=("province", "city", "address"))
+    assert order_revenue(wide, address_from="place").first()["address"] == "street"
+    assert order_revenue(wide).first()["address"] == "scene"
