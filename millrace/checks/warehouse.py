@@ -82,6 +82,13 @@ def geo_nearest(spark, sf_dir):
     return wide_logins(spark, sf_dir)
 
 
+@check(f"WITH {_WIDE_LOGINS} SELECT uid, mid, lng, lat, login_dt, province, city, district, address FROM logins_wide")
+def geo_nearest_large(spark, sf_dir):
+    """The same as if no point table could be broadcast."""
+    index = point_index(spark, sf_dir, broadcast_bytes=0, stored=True)
+    return geo.reverse_geocode(logins(spark, sf_dir), index)
+
+
 @check(f"WITH {_WIDE_PLAYS} {song_heat_sql('plays_wide', '1 hour')}")
 def dm_song_hot(spark, sf_dir):
     return marts.song_heat(wide_plays(spark, sf_dir), size="1 hour")

@@ -20,6 +20,8 @@ from .joins import BROADCAST_BYTES, fits_broadcast, sized_join
 PLACE_COLUMNS = ("province", "city", "district", "address")
 # Points that are held together in one array.
 POINTS_PER_ROW = 256
+# How much finer the next grid is where a cell is too crowded.
+REFINE = 4
 _POINT_BYTES, _ROW_BYTES = 48, 96
 _CELL = ["_cx", "_cy"]
 
@@ -108,11 +110,14 @@ class PointIndex:
         geo: DataFrame,
         cell: int,
         *,
-        levels: Sequence[int] = (8,),
+        levels: Sequence[int] | None = None,
         broadcast_bytes: int | None = None,
         stored: bool = False,
     ) -> PointIndex:
-        """``levels`` are the refinements of the grid that are tried first when the points do not fit a broadcast."""
+        """``levels`` are the refinements of the grid that are tried first when the points do not fit a broadcast.
+
+        Without them the grid is refined by ``REFINE`` until no cell has more points to search than one array holds.
+        """
         limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
         keep = partial(materialize, label="points") if stored else lambda df: df
         points = _distinct_points(geo)
@@ -124,7 +129,11 @@ class PointIndex:
 
         grids = [grid(cell)]
         if not (grids[0].small and grids[0].spread == 1):
-            grids = [*(grid(max(cell // factor, 1)) for factor in levels), *grids]
+            points = materialize(points, "points")  # measured and packed once more for every level
+            if levels is not None:
+                grids = [*(grid(max(cell // factor, 1)) for factor in levels), *grids]
+            while levels is None and grids[0].spread > 1 and grids[0].cell > 1:
+                grids.insert(0, grid(max(grids[0].cell // REFINE, 1)))
         return cls(tuple(grids), places, fits_broadcast(places, limit))
 
     @property

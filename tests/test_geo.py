@@ -3,10 +3,12 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace import constants as C
 from millrace.operators import PointIndex, reverse_geocode
 from millrace.operators import geo as geo_module
+from millrace.operators.geo import nearest_point
 
 CELL = 1_000_000
 LARGE = {"small": False, "share": 0.05, "min_rows": 0}
@@ -55,7 +57,7 @@ def test_small_table(world, monkeypatch):
     assert answers(reverse_geocode(logins, index)) == want
 
 
-@pytest.mark.parametrize("per_row, levels", [(10_000, (8,)), (16, (8,)), (16, (16, 4)), (16, ())])
+@pytest.mark.parametrize("per_row, levels", [(10_000, (8,)), (16, (8,)), (16, (16, 4)), (16, ()), (16, None)])
 def test_large_table(world, monkeypatch, per_row, levels):
     geo, logins, want = world
     monkeypatch.setattr(geo_module, "POINTS_PER_ROW", per_row)
@@ -84,3 +86,16 @@ def test_no_cross_join(world):
         plan = reverse_geocode(logins, PointIndex.build(geo, CELL, broadcast_bytes=limit))._jdf.queryExecution()
         text_ = plan.executedPlan().toString()
         assert "CartesianProduct" not in text_ and "BroadcastNestedLoopJoin" not in text_
+
+
+def test_a_pile_in_one_cell_is_refined_until_its_cells_are_small(spark):
+    geo = spark.range(20_000).select(
+        F.col("id").alias("geo_id"), (F.col("id") % 200).alias("lng_e6"), F.expr("id div 200").alias("lat_e6"),
+        *[F.lit("x").alias(c) for c in ("province", "city", "district", "address")],
+    )
+    index = PointIndex.build(geo, 1_000_000, broadcast_bytes=0, stored=True)
+    assert index.grids[0].spread == 1 and index.grids[-1].cell == 1_000_000
+    logins = spark.createDataFrame([("0.000101", "0.000050"), ("0.5", "0.5")], "lng string, lat string")
+    found = nearest_point(logins.select((F.col("lng").cast("decimal(12,6)") * 1_000_000).cast("bigint").alias("_lng"),
+                                        (F.col("lat").cast("decimal(12,6)") * 1_000_000).cast("bigint").alias("_lat")), index)
+    assert {r["_lng"]: r["_best"]["geo_id"] for r in found.collect()} == {101: 50 * 200 + 101, 500_000: 19_999}
