@@ -4,7 +4,9 @@ Terms (whole words, and word beginnings of 4 to 8 bytes, as stems of inflected w
 sample of the labelled rows. The most telling ones become lexicon voters, next to pattern voters for shouting, repetition
 and shape. A generative label model estimates from the votes on all documents how often each voter fires in either class, and
 how far voters that agree depend on each other; dependent voters are discounted. Its posterior labels of the sample, with
-the given label as one more imperfect voter, train a linear classifier over the terms, which scores every whole text.
+the given label as one more imperfect voter, train a linear classifier over the terms. Posterior labels are cautious where few
+voters speak, so the given labels of the sample tell in the end how likely label 1 is at a score (Platt's scaling). The
+classifier scores every whole text.
 
 What depends on all documents leaves the tasks as sums of fixed size; the driver holds the sample's features and the model.
 
@@ -162,7 +164,7 @@ def _next_model(sums: np.ndarray, gold: np.ndarray) -> LabelModel:
     deviation = np.sqrt(fires * (1 - fires))
     related = (joint - fires[:, :, None] * fires[:, None, :]) / (deviation[:, :, None] * deviation[:, None, :])
     # In each class by its weight; voters that fire together beyond what the class explains share their say.
-    related = np.clip((related * number[:, None, None]).sum(axis=0) / number.sum(), 0, 1)
+    related = np.clip((related * number[:, None, None]).sum(axis=0) / max(number.sum(), 1), 0, 1)
     np.fill_diagonal(related, 0)
     return LabelModel(fires, 1 / (1 + related.sum(axis=1)), float((number[1] + 1) / (number.sum() + 2)))
 
@@ -183,6 +185,34 @@ def _linear(text: np.ndarray, term: np.ndarray, wanted: np.ndarray, features: in
     return weights
 
 
+def _scaling(logit: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
+    """Slope and shift that make ``logit`` that of label 1 (Platt's method, with his smoothed labels)."""
+    positive = toxic.sum()
+    negative = len(toxic) - positive
+    if positive == 0 or negative == 0:
+        return 1.0, 0.0
+    wanted = np.where(toxic > 0, (positive + 1) / (positive + 2), 1 / (negative + 2))
+    given = np.stack([logit, np.ones(len(logit))], axis=1)
+    line = np.array([1.0, 0.0])
+    for _ in range(100):
+        p = _logistic(given @ line)
+        curve = (given * (p * (1 - p))[:, None]).T @ given + 1e-6 * np.eye(2)
+        step = np.clip(np.linalg.solve(curve, given.T @ (wanted - p)), -0.5, 0.5)
+        line += step
+        if np.abs(step).max() < 1e-8:
+            break
+    return (float(line[0]), float(line[1])) if line[0] > 0 else (1.0, 0.0)
+
+
+def _scaled(text: np.ndarray, term: np.ndarray, wanted: np.ndarray, toxic: np.ndarray, features: int) -> np.ndarray:
+    """The classifier of soft labels, scaled to the given ones."""
+    weights = _linear(text, term, wanted, features)
+    slope, shift = _scaling(np.bincount(text, weights[term], len(wanted)) + weights[-1], toxic)
+    weights *= slope
+    weights[-1] += shift
+    return weights
+
+
 @dataclass
 class Classifier:
     terms: Terms
@@ -322,7 +352,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     wanted = _logistic(model.logit(votes) + np.where(toxic > 0, trust, -trust)) if total else np.zeros(0)
     hits = seen["hits"].combine_chunks() if total else pa.array([], pa.list_(pa.int32()))
     sizes = hits.value_lengths().to_numpy(zero_copy_only=False) if total else np.zeros(0, np.int64)
-    weights = _linear(np.repeat(np.arange(len(sizes)), sizes), hits.flatten().to_numpy(), wanted, terms.count)
+    weights = _scaled(np.repeat(np.arange(len(sizes)), sizes), hits.flatten().to_numpy(), wanted, toxic, terms.count)
     return Classifier(terms, weights)
 
 
