@@ -12,7 +12,7 @@ are judged row by row; null ids never name a component unless all its ids are nu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import materialize
+from . import near
 from .components import components
 from .words import slices
 
@@ -174,10 +175,10 @@ def links(fps: DataFrame, column: str = "fp", blocks: int = BLOCKS) -> DataFrame
     return dealt.mapInArrow(_links_of_sorted, _LINKS)
 
 
-def _classified(fps: DataFrame, id_col: str) -> DataFrame:
+def _classified(fps: DataFrame, id_col: str, linked: Callable[[DataFrame], DataFrame] = links) -> DataFrame:
     """``root`` for every distinct fingerprint, with ``least``: the smallest id of its component and a fingerprint with it."""
     distinct = materialize(fps.groupBy("fp").agg(F.min(id_col).alias("id")), "distinct")
-    roots = components(links(distinct))
+    roots = components(linked(distinct))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     # Ids before null, as min() has it.
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "fp")
@@ -193,16 +194,20 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns, one of each component: that with the smallest id.
+    """The documents, all columns, one of each component of texts whose 5-word shingles are similar to 0.8 or more: that
+    with the smallest id.
 
-    If several have that id, one of those with the smallest fingerprint among them stays.
+    This is not the three bits of :func:`classes`: texts of similarity 0.8 differ in some ten of 64 bits, and blocks for so
+    many would have four bits or fewer. See :mod:`.near`. If several have that id, one of those with the smallest name of a
+    shingle set among them stays.
     """
     names = [f"c{k}" for k in range(len(docs.columns))]  # clashes with no working column
     key, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
-    marked = materialize(with_fingerprints(docs.toDF(*names), text), "fingerprints")
-    stays = _classified(marked.select(F.col(key).alias("id"), "fp"), "id").select("least.*").distinct()
+    marked = materialize(near.with_bands(docs.toDF(*names), text), "shingles")
+    stays = _classified(marked.select(F.col(key).alias("id"), "fp"), "id", lambda _: near.links(marked, text))
+    stays = stays.select("least.*").distinct()
     name = F.coalesce(F.concat(F.lit("v"), F.col("id").cast("string")), F.lit("none"))
-    named = marked.withColumn("id", F.col(key)).withColumn("name", name)
+    named = marked.select(*names, "fp").withColumn("id", F.col(key)).withColumn("name", name)
     kept = named.join(stays.select(name.alias("name"), "fp"), ["name", "fp"], "left_semi")
     one = F.row_number().over(Window.partitionBy("name", "fp").orderBy(F.lit(0)))
     return kept.withColumn("row", one).filter("row = 1").select(*names).toDF(*docs.columns)
