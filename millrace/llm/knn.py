@@ -68,7 +68,8 @@ class Cells:
     pivots: np.ndarray
     radius: np.ndarray
     norm: np.ndarray
-    inner: np.ndarray  # distances of the k + 1 innermost members, infinite where there are fewer
+    inner: np.ndarray  # distances of the k + 1 innermost ids, each once, infinite where there are fewer
+    ids: np.ndarray  # those ids
     used: np.ndarray
 
     def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,11 +81,16 @@ class Cells:
         slack = 1e-9 * length * (np.sqrt((p * p).sum(axis=1))[None, :] + self.radius) + 1e-6
         upper = np.minimum(at + length * self.radius, length * self.norm) + slack
         upper[:, ~self.used] = -np.inf
-        sure = (at - slack)[:, :, None] - length[:, :, None] * self.inner[None]
-        sure = sure.reshape(len(q), -1)
+        cell, rank = np.nonzero(np.isfinite(self.inner))
+        order = np.argsort(self.ids[cell, rank], kind="stable")
+        cell, rank = cell[order], rank[order]
+        heads = np.flatnonzero(np.diff(self.ids[cell, rank], prepend=self.ids[cell[0], rank[0]] - 1)) if len(cell) else cell
         k = self.inner.shape[1]
-        # One of k + 1 may be the query itself.
-        return upper, np.partition(sure, -k, axis=1)[:, -k] if sure.shape[1] >= k else np.full(len(q), -np.inf)
+        if len(heads) < k:
+            return upper, np.full(len(q), -np.inf)
+        sure = np.maximum.reduceat((at - slack)[:, cell] - length * self.inner[cell, rank][None], heads, axis=1)
+        # One of k + 1 ids may be the query's own, none of whose rows is a candidate.
+        return upper, np.partition(sure, -k, axis=1)[:, -k]
 
 
 def _grouped(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -114,15 +120,17 @@ def _grouped(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
 def _summary(grouped: DataFrame, pivots: np.ndarray, k: int) -> tuple[Cells, dict[int, int]]:
     """The summaries of all groups and their sizes: at most one row per pivot and rank reaches the driver."""
     cells = Cells(pivots, np.zeros(len(pivots)), np.zeros(len(pivots)), np.full((len(pivots), k + 1), np.inf),
-                  np.zeros(len(pivots), bool))
+                  np.zeros((len(pivots), k + 1), np.int64), np.zeros(len(pivots), bool))
     sizes = {}
     totals = grouped.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("r"), F.max("norm").alias("top"))
     for row in totals.collect():
         cells.radius[row["cell"]], cells.norm[row["cell"]], cells.used[row["cell"]] = row["r"], row["top"], True
         sizes[row["cell"]] = row["n"]
-    rank = F.row_number().over(Window.partitionBy("cell").orderBy("dist"))
-    for row in grouped.select("cell", "dist", rank.alias("k")).filter(F.col("k") <= k + 1).collect():
+    once = grouped.groupBy("cell", F.col("id").cast("bigint").alias("id")).agg(F.min("dist").alias("dist"))
+    rank = F.row_number().over(Window.partitionBy("cell").orderBy("dist", "id"))
+    for row in once.withColumn("k", rank).filter(F.col("k") <= k + 1).collect():
         cells.inner[row["cell"], row["k"] - 1] = row["dist"]
+        cells.ids[row["cell"], row["k"] - 1] = row["id"]
     return cells, sizes
 
 

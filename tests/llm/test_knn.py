@@ -41,3 +41,14 @@ def test_edges(spark):
     assert sorted(map(tuple, got.collect())) == plain(rows, lambda q: q % 10 == 0, 20)
     assert knn.top_k(frame.limit(0), F.lit(True)).count() == 0
     assert knn.top_k(frame.filter("vec_id = 0"), F.lit(True)).count() == 0
+
+
+def test_a_query_id_that_stands_several_times(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = []
+    for copies in (2, 12):  # the query and nine others are one vector, and all others score less
+        rows = [(0, [1.0, 1.0])] * copies + [(k, [1.0, 1.0]) for k in range(1, 10)] + [(100 + k, [0.01 * k, 0.0]) for k in range(5)]
+        want = [r[1:] for r in plain(rows, lambda q: q == 0, 10)]
+        found = knn.top_k(frame(rows), F.col("vec_id") == 0, k=10).collect()
+        got.append(sorted(tuple(r)[1:] for r in found) == sorted(want))
+    assert got == [True, True]
