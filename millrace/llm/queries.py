@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, knn, licenses, line_dedup, mixing, sharding, simhash, spans, toxicity, urls
+from . import decontamination, knn, lexical, licenses, line_dedup, mixing, sharding, simhash, spans, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -230,3 +230,33 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return urls.judge(load(spark, sf_dir, "pages"), outcomes, rules)
+
+
+_TERMS = "regexp_extract_all(" + _FOLDED.format("text") + ", '[0-9a-z\\x{80}-\\x{10FFFF}]+')"
+
+
+@check(f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, w, len(w)::BIGINT AS n FROM (SELECT doc_id, {_TERMS} AS w FROM documents) WHERE len(w) > 0
+), every AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM doc),
+item AS (
+  SELECT q, item_id, term, count(*) AS times
+  FROM (SELECT q, item_id, unnest(w) AS term FROM (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS w FROM benchmark))
+  GROUP BY ALL
+), posting AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS term FROM doc) GROUP BY ALL
+), weighed AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM posting GROUP BY term), every
+), scored AS (
+  SELECT q, item_id, r, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))))::BIGINT AS score
+  FROM item JOIN posting USING (term) JOIN weighed USING (term), every GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0
+) WHERE rank <= 20
+""")
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best of all documents for every benchmark item, by segments with bounds of term pairs."""
+    return lexical.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
