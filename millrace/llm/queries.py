@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, knn, lexical, licenses, line_dedup, mixing, sharding, simhash, spans, toxicity, urls
+from . import decontamination, knn, lexical, licenses, line_dedup, mixing, periodic, sharding, simhash, spans, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -260,3 +260,44 @@ SELECT item_id, rank, doc_id, score FROM (
 def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty best of all documents for every benchmark item, by segments with bounds of term pairs."""
     return lexical.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """Ids and texts; where crc32 of the id is a multiple of 10, the words from some place on repeat a period."""
+    hashed = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(hashed / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i))), " "))
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    # The words are made once per text: they are what the function is applied to, not a part of it.
+    text = F.when(hashed % 10 == 0, F.transform(F.array(words), repeated)[0]).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@check()
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every text, and what is left when each is cut to its first period."""
+    found = periodic.periodic_runs(_planted(load(spark, sf_dir, "documents")))
+
+    def order(a, b):
+        """The greater length/period first, then the smaller start, then the smaller period; products are exact."""
+        here, there = a["length"] * b["period"], b["length"] * a["period"]
+        return (
+            F.when(here != there, F.signum(there - here)).when(a["start"] != b["start"], F.signum(a["start"] - b["start"]))
+            .otherwise(F.signum(a["period"] - b["period"])).cast("int")
+        )
+
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    best = F.get(F.array_sort("runs", order), F.lit(0))
+    return found.select("*", best.alias("best")).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
