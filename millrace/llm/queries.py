@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, knn, lexical, licenses, line_dedup, mixing, periodic, sharding, simhash, spans, toxicity, urls
+from . import decontamination, knn, lexical, licenses, line_dedup, mixing, periodic, pii, sharding, simhash, spans, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -262,6 +262,16 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+@check()
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: what the patterns find, and what the field adds."""
+    found = pii.find(load(spark, sf_dir, "documents"))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]  # noqa: B023
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def _planted(docs: DataFrame) -> DataFrame:
     """Ids and texts; where crc32 of the id is a multiple of 10, the words from some place on repeat a period."""
     hashed = F.crc32(F.col("doc_id").cast("string"))
