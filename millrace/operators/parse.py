@@ -58,35 +58,31 @@ def json_fields(text: Column) -> Column:
     return F.map_from_entries(F.filter(entries, is_last))
 
 
-def _may_repeat(text: Column) -> Column:
-    """Whether a name, or a text like one, stands twice in the object."""
-    names = F.regexp_extract_all(text, F.lit(r'"((?:[^"\\]|\\.)*)"\s*:'))
-    return F.size(F.array_distinct(names)) < F.size(names)
-
-
 def put_fields(text: Column, **added: Column) -> Column:
     """Set text fields of a JSON object given as text; null for anything else. Null values are left out.
 
-    Usually the new fields are only appended to the text. Where a name may be there already or twice, a null would have to
-    go, or a number may be spelled in several ways, the object is taken apart and put together again.
+    The new fields are appended to the text, and what is there keeps its spelling. Only where one of the names stands in the
+    object already, a name stands there twice, or a null would have to go, is the object taken apart and put together again.
     """
     names = list(added)
     rest = F.map_filter(json_fields(text), lambda name, _: ~name.isin(names))
     pairs = F.map_from_entries(F.array(*[F.struct(F.lit(n), v.cast("string").cast("variant")) for n, v in added.items()]))
     rebuilt = F.map_concat(rest, F.map_filter(pairs, lambda _, value: value.isNotNull()))
 
-    rebuild = (
-        ~(text.startswith("{") & text.endswith("}")) | F.substring(text, -2, 1).isin(" ", "\t", "\r", "\n")
-        | text.contains("null") | text.contains("\\u") | text.rlike(r"\d[.eE]|-0") | _may_repeat(text) | F.coalesce(*[v.cast("string") for v in added.values()]).isNull()
-    )
-    for name in names:
-        rebuild = rebuild | text.contains(f'"{name}"')
-    tail = F.to_json(F.struct(*[v.cast("string").alias(n) for n, v in added.items()]))
-    appended = F.concat(
-        F.left(text, F.length(text) - 1), F.when(text == "{}", F.lit("")).otherwise(F.lit(",")),
-        F.substring(tail, F.lit(2), F.length(tail)),
-    )
-    return F.when(rebuild, F.to_json(without_nulls(rebuilt))).otherwise(appended)
+    def put(there: Column) -> Column:
+        """``there`` are the names in the object, read once."""
+        rebuild = (
+            ~(text.startswith("{") & text.endswith("}")) | there.isNull() | F.arrays_overlap(there, F.array(*map(F.lit, names)))
+            | (F.size(F.array_distinct(there)) < F.size(there)) | (text.contains("null") & text.rlike(r":\s*null\s*[,}]"))
+        )
+        tail = F.to_json(F.struct(*[v.cast("string").alias(n) for n, v in added.items()]))  # without the null ones
+        appended = F.concat(
+            F.left(text, F.length(text) - 1), F.when(F.size(there) == 0, F.lit("")).otherwise(F.lit(",")),
+            F.substring(tail, F.lit(2), F.length(tail)),
+        )
+        return F.when(rebuild, F.to_json(without_nulls(rebuilt))).when(tail == "{}", text).otherwise(appended)
+
+    return F.transform(F.array(F.json_object_keys(text)), put)[0]
 
 
 def drop_fields(fields: Column, *names: str) -> Column:

@@ -221,9 +221,12 @@ def test_put_fields_on_odd_texts(rows):
     }
     got = rows([(t,) for t in cases], "t string").select("t", parse.put_fields(F.col("t"), ts=F.lit("9")).alias("v")).collect()
     assert {r["t"]: r["v"] and json.loads(r["v"]) for r in got} == cases
-    # One spelling, whether the object is taken apart or not.
-    texts = rows([('{"a":1.50}',), ('{"a":1.50,"b":null}',)], "t string").select(parse.put_fields(F.col("t"), ts=F.lit("9")).alias("v"))
-    assert len({r["v"] for r in texts.collect()}) == 1
+    # What only gets fields appended keeps its spelling.
+    kept = ['{"a":1.50}', '{"a":-0.0,"b":1e3,"c":"1-05"}', '{"a":{"ts":null}, "b":[1.10]}', '{"a":"null"}', '{"a":"\\u00e9"}', "{ }"]
+    got = rows([(t,) for t in kept], "t string").select(parse.put_fields(F.col("t"), ts=F.lit("9"), x=F.lit(None)).alias("v")).collect()
+    assert [r["v"] for r in got][:2] == [t[:-1] + ',"ts":"9"}' for t in kept[:2]]
+    assert [r["v"] for r in got][3:] == ['{"a":"null","ts":"9"}', '{"a":"\\u00e9","ts":"9"}', '{ "ts":"9"}']
+    assert [json.loads(r["v"]) for r in got] == [{**json.loads(t), "ts": "9"} for t in kept]
 
 
 def test_numbers_as_the_getters_read_them(rows):
