@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from .. import constants as C
 from ..operators import lookup, parse, routing
 from ..plans import jobs
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources.config import config_from_rows
 from ..sources.marts import ParquetMarts
 from ..sources.topics import FolderTopics
@@ -80,9 +80,9 @@ def stream_user_log_routes(spark, sf_dir):
 
 def in_batches(df: DataFrame, number: Column, batches: int, root: str) -> DataFrame:
     """A stream over ``df`` with one micro-batch per value of ``number`` from 0 on."""
-    folder = f"{root}/in"
+    folder, stored = f"{root}/in", materialize(df.withColumn("_number", number), "batches")
     for k in range(batches):
-        df.filter(number == k).coalesce(1).write.parquet(f"{folder}/batch={k}")
+        stored.filter(F.col("_number") == k).drop("_number").coalesce(1).write.parquet(f"{folder}/batch={k}")
     return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/batch=*")
 
 
@@ -110,26 +110,32 @@ def stream_count_window(spark, sf_dir):
 @check(f"WITH {CHANGES_SQL}, {MACHINES_SQL} SELECT mid, province, city, address FROM machine_dim")
 def stream_dim_upsert(spark, sf_dir):
     """Change log -> dimension records -> snapshots merged batch by batch, in two jobs over the whole log."""
-    return _dim_stream(spark, sf_dir, flat=False)
+    return _dim_stream(spark, sf_dir)
 
 
 @check(f"WITH {CHANGES_SQL}, {MACHINES_SQL} SELECT mid, province, city, address FROM machine_dim")
 def stream_dim_upsert_flat(spark, sf_dir):
-    """The same through flat records."""
+    """The same through flat records. These carry no transaction, so the changes that are drafts of one stay out."""
     return _dim_stream(spark, sf_dir, flat=True)
 
 
-def _dim_stream(spark: SparkSession, sf_dir: str, flat: bool) -> DataFrame:
+@check(f"WITH {CHANGES_SQL}, {MACHINES_SQL} SELECT mid, province, city, address FROM machine_dim")
+def stream_dim_upsert_deltas(spark, sf_dir):
+    """The same in eight batches into a store that is made to merge deltas and to split buckets on the way."""
+    return _dim_stream(spark, sf_dir, batches=8, bucket_bytes=20_000, delta_bytes=2_000, delta_files=2)
+
+
+def _dim_stream(spark: SparkSession, sf_dir: str, flat: bool = False, batches: int = 3, **options) -> DataFrame:
     root = scratch_path(spark, "dim-upsert")
-    topics, store = FolderTopics(f"{root}/topics", max_files_per_trigger=1), DimensionStore(spark, f"{root}/dims", buckets=8)
+    topics, store = FolderTopics(f"{root}/topics", max_files_per_trigger=1), DimensionStore(spark, f"{root}/dims", **options)
     # In the order of time, so that the last arrival is the latest change.
     log = change_log(spark, sf_dir)
-    if flat:  # a flat record carries no transaction, so the drafts, which come first, stay out
+    if flat:
         log = log.filter(~F.col("value").contains('"xoffset":0,"data":{"mid"'))
-    timed = log.withColumn("ts", F.get_json_object("value", "$.ts").cast("bigint"))
-    bounds = timed.filter("ts > 0").approxQuantile("ts", [0.34, 0.67], 0.01)
-    number = F.when(F.col("ts") <= bounds[0], 0).when(F.col("ts") <= bounds[1], 1).otherwise(2)
-    changes = in_batches(timed, number, 3, root).select("value")
+    timed = materialize(log.withColumn("ts", F.get_json_object("value", "$.ts").cast("bigint")), "log")
+    bounds = timed.filter("ts > 0").agg(F.percentile_approx("ts", [k / batches for k in range(1, batches)], 100)).first()[0]
+    number = sum((F.coalesce(F.col("ts") > b, F.lit(False)).cast("int") for b in bounds), F.lit(0))
+    changes = in_batches(timed, number, batches, root).select("value")
     jobs.cdc_to_dwd(changes, config_from_rows(CONFIG_ROWS), topics, f"{root}/c1", flat=flat).awaitTermination()
     jobs.dim_upsert(topics.read_stream(spark, C.DWD_DIM, "dwd_changes"), store, f"{root}/c2", flat=flat).awaitTermination()
     return store.read(C.DIM_MACHINE_LOCAL).select("mid", "province", "city", "address")

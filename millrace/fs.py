@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -42,6 +43,21 @@ class SharedFiles:
         finally:
             out.close()
 
+    def create(self, path: str, text: str) -> bool:
+        """Write a new file; False, and nothing done, if there is one of that name."""
+        fs, target = self._open(path)
+        try:
+            out = fs.create(target, False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        return True
+
     def read_text(self, path: str) -> str | None:
         """The text of a file, or None if there is none."""
         fs, target = self._open(path)

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from .. import constants as C
-from ..streaming.once import committed_versions, write_batch_once
+from ..streaming.once import read_committed, write_batch_once
 
 # The columns each mart is sorted by.
 MART_ORDER = {
@@ -48,16 +48,11 @@ class ParquetMarts:
 
     def read(self, spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
         """All committed batches. ``schema`` gives the columns of an empty table before the first."""
-        folders = [f"{self.path(table)}/batch={v}" for v in committed_versions(spark, self.path(table))]
-        if not folders:
-            if schema is None:
-                raise ValueError(f"{table} has no batch yet; give its schema to read it as empty")
-            return spark.createDataFrame([], schema)
         if schema is None:
-            schema = spark.read.parquet(folders[-1]).schema
+            schema = read_committed(spark, self.path(table)).schema
         # Dates are text in the marts, whatever partition names look like.
         names = [T.StructField(f.name, T.StringType() if f.name == self.date else f.dataType) for f in schema]
-        return spark.read.schema(T.StructType(names)).option("basePath", self.path(table)).parquet(*folders).drop("batch")
+        return read_committed(spark, self.path(table), T.StructType(names)).drop("batch")
 
 
 @dataclass(frozen=True)

@@ -7,10 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..fs import SharedFiles
 from ..operators.windows import arrival_positions, full_and_rest
 from ..session import scratch
-from .once import commit_record, committed_versions, job_id, write_batch_once
+from .log import CommitLog
+from .once import committed_versions, job_id, read_committed, write_batch_once
 
 
 @dataclass
@@ -29,25 +29,19 @@ class CountWindowStream:
     keys: Sequence[str] = ()
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        files, job = SharedFiles(self.spark), job_id(self.spark)
+        job = job_id(self.spark)
         rest_path, out_path = f"{self.root}/rest", f"{self.root}/windows"
-        done = committed_versions(self.spark, rest_path)
-        last = commit_record(files, rest_path, done[-1]) if done else None
-        if last and last["job"] == job and last["batch"] >= batch_id:
+        done = CommitLog(self.spark, rest_path).state()["jobs"].get(job)
+        if done and done[0] >= batch_id:
             return
-        rows = batch
-        if done:
-            left = self.spark.read.schema(batch.schema).parquet(f"{rest_path}/batch={done[-1]}")
-            rows = left.unionByName(batch)
+        rests = committed_versions(self.spark, rest_path)
+        rows = read_committed(self.spark, rest_path, batch.schema).select(batch.columns).unionByName(batch)
         with scratch(self.spark):
             full, rest = full_and_rest(arrival_positions(rows, self.order, self.keys), self.n, rows.columns)
-            # The rest is written last: until then a replay finds the same rows to start from.
+            # The rest is written last, in place of the one before: until then a replay finds the same rows to start from.
             write_batch_once(full, out_path, batch_id, job=job)
-            write_batch_once(rest, rest_path, batch_id, job=job)
-        for version in done[:-1]:
-            files.delete(f"{rest_path}/batch={version}")
+            write_batch_once(rest, rest_path, batch_id, job=job, drops=rests)
 
     def windows(self) -> DataFrame:
         """Everything emitted so far; a window is told by ``batch`` and ``window_no`` (and the keys)."""
-        folders = [f"{self.root}/windows/batch={v}" for v in committed_versions(self.spark, f"{self.root}/windows")]
-        return self.spark.read.option("basePath", f"{self.root}/windows").parquet(*folders)
+        return read_committed(self.spark, f"{self.root}/windows")

@@ -1,80 +1,157 @@
-"""Dimension snapshots, kept up to date by micro-batches."""
+"""Dimension tables, kept up to date by micro-batches and merged when they are read."""
 
 from __future__ import annotations
 
+import math
 import time
-from collections.abc import Collection
+from collections.abc import Collection, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..fs import SharedFiles
 from ..operators.cdc import latest_dim_columns
-from ..operators.joins import BROADCAST_BYTES, fits_broadcast, sized_join
-from ..session import materialize, scratch
-from .once import commit_record, committed_versions, job_id, write_batch_once
+from ..operators.joins import BROADCAST_BYTES, fits_broadcast, measured_bytes
+from ..session import scratch
+from .log import CommitLog
+from .once import data_files, folder, job_id, with_all_files
+
+_MERGE = "_merge"  # the job that compacts
+
+
+def bucket_of(hashed: Column, count: int) -> Column:
+    """Linear hashing: with ``count`` buckets, those beyond the last power of two have split off from their lower twins."""
+    half = 1 << (count.bit_length() - 1)
+    wide = F.pmod(hashed, F.lit(2 * half))
+    return F.when(wide < count, wide).otherwise(F.pmod(hashed, F.lit(half))).cast("int")
+
+
+def _twin(bucket: int) -> int:
+    """The bucket that this one splits off from."""
+    return bucket - (1 << (bucket.bit_length() - 1))
+
+
+def _fold(state: dict, version: int, entry: dict) -> None:
+    """``base`` and ``deltas`` say for every bucket in which versions its rows lie, with their bytes and number of files;
+    ``stale`` are versions that nothing needs any more, with the time since when."""
+    base, deltas = state.setdefault("base", {}), state.setdefault("deltas", {})
+    live = lambda: {p[0] for p in base.values()} | {p[0] for parts in deltas.values() for p in parts}
+    before = live()
+    for bucket in entry["replaces"]:
+        base.pop(bucket, None)
+        deltas.pop(bucket, None)
+    for bucket, (size, files) in entry["wrote"].items():
+        if entry["kind"] == "base":
+            base[bucket] = [version, size, files]
+        else:
+            deltas.setdefault(bucket, []).append([version, size, files])
+    state["columns"], state["count"], state["time"] = entry["columns"], entry["count"], entry["time"]
+    stale = [s for s in state.get("stale", []) if s[0] not in entry["deleted"]]
+    state["stale"] = stale + [[v, entry["time"]] for v in sorted(before - live())]
 
 
 @dataclass
 class DimensionStore:
-    """Snapshots of dimension tables, all columns text, one row per key, in hash buckets of the key.
-
-    A version ``<root>/<table>/batch=<version>/bucket=<b>`` holds only the buckets that its batch changed; its commit record
-    says in which version each bucket of the whole table lies. So an upsert reads and writes the buckets of its keys, and
-    readers take the newest complete record. The last arrival wins, column by column: a batch replaces what it gives, and
-    keeps stored columns that its configuration does not name; among the changes of one batch the latest counts.
-
-    A replayed batch of the same streaming query does nothing. Old versions are deleted once no record needs them that is
-    among the ``keep`` newest or was replaced less than ``keep_seconds`` ago, so that running readers can finish.
+    """Dimension tables, all columns text, one row per key, in hash buckets of the key.
+
+    An upsert reads nothing: it appends its rows as sorted delta files, one for each bucket that its keys are in. Readers merge a
+    table's base files with the deltas since; the last arrival wins, column by column: a batch replaces what it gives, and
+    keeps stored columns that its configuration does not name; among the changes of one batch the latest counts. A bucket
+    whose deltas have grown beyond ``delta_share`` of its base and ``delta_bytes``, or are more than ``delta_files``, is
+    merged into a new base. As the table grows, buckets split, so that one holds about ``bucket_bytes``; splitting a bucket
+    rewrites that bucket alone. So what a batch writes follows from its own size, and over time each row is rewritten a number
+    of times that does not depend on the number of batches.
+
+    The commit log says which files count. A replayed batch of the same streaming query does nothing. Versions that nothing
+    needs are deleted by the first batch that comes ``keep_seconds`` later, so that running readers can finish. One writer at a
+    time per table: a second one fails, and so does one that was given up and still runs.
     """
 
     spark: SparkSession
     root: str
-    keep: int = 2
     keep_seconds: float = 3600.0
-    buckets: int = 64
+    bucket_bytes: int = 64 * 1024 * 1024
+    delta_bytes: int = 8 * 1024 * 1024
+    delta_share: float = 0.25
+    delta_files: int = 24
     _small: dict[str, bool] = field(default_factory=dict, repr=False)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def _log(self, table: str) -> CommitLog:
+        return CommitLog(self.spark, self.path(table), fold=_fold)
+
+    def state(self, table: str) -> dict:
+        """What the commit log says of the table."""
+        return self._log(table).state()
+
     def versions(self, table: str) -> list[int]:
-        return committed_versions(self.spark, self.path(table))
-
-    def _newest(self, table: str) -> tuple[int, dict | None]:
-        files = SharedFiles(self.spark)
-        names = files.names(self.path(table))
-        for version in sorted((int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")), reverse=True):
-            record = commit_record(files, self.path(table), version)
-            if record is not None:
-                return version, record
-        return -1, None
-
-    def _rows(self, table: str, record: dict, buckets: Collection[str]) -> DataFrame:
-        """The stored rows of these buckets; columns that came later are null in older rows."""
-        schema = ", ".join(f"`{c}` string" for c in record["columns"])
-        folders = [f"{self.path(table)}/batch={record['buckets'][b]}/bucket={b}" for b in buckets if b in record["buckets"]]
-        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+        """The versions that are needed or not yet deleted."""
+        state = self.state(table)
+        held = [*state.get("base", {}).values(), *(p for parts in state.get("deltas", {}).values() for p in parts), *state.get("stale", [])]
+        return sorted({part[0] for part in held})
+
+    def _stored(self, table: str, columns: list[str], parts: Iterable[tuple[str, list]]) -> DataFrame:
+        """Stored rows of (bucket, part) as they are: the key, each other column as ``struct<value>``, null if it was not given."""
+        pk, names = columns[0], columns[1:]
+        value = T.StructType([T.StructField("value", T.StringType())])
+        schema = T.StructType([
+            T.StructField(pk, T.StringType()), *[T.StructField(c, value) for c in names],
+            T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType()),
+        ])
+        parts = list(parts)
+        folders = [f"{folder(self.path(table), part[0])}/bucket={bucket}" for bucket, part in parts]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        found = self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*folders)
+        return with_all_files(found, sum(part[2] for _, part in parts), self.path(table))
+
+    def _merged(self, table: str, state: dict, buckets: Collection[str]) -> DataFrame:
+        """One row per key of these buckets, each other column as ``struct<value>``."""
+        columns = state["columns"]
+        pk, names = columns[0], columns[1:]
+        base = self._stored(table, columns, ((b, state["base"][b]) for b in buckets if b in state["base"]))
+        deltas = [(b, part) for b in buckets for part in state["deltas"].get(b, [])]
+        base = base.select(columns)
+        if not deltas:
+            return base
+        newest = [F.max(F.when(F.col(c).isNotNull(), F.struct("batch", F.col(c)["value"].alias("value")))).alias(f"_new_{c}") for c in names]
+        rows = self._stored(table, columns, deltas)
+        changed = rows.groupBy(pk).agg(*newest) if names else rows.select(pk).distinct()
+        given = {c: F.when(F.col(f"_new_{c}").isNotNull(), F.struct(F.col(f"_new_{c}")["value"].alias("value"))) for c in names}
+        last = [F.coalesce(given[c], F.col(c)).alias(c) for c in names]
+        if not fits_broadcast(changed):
+            return base.join(changed, pk, "full").select(pk, *last)
+        # The base stays where it is: it meets the few changes, and then those of them that it does not have are added.
+        met = base.join(F.broadcast(changed), pk, "left").select(pk, *last)
+        known = base.select(pk).join(F.broadcast(changed.select(pk)), pk, "left_semi")
+        added = changed.join(F.broadcast(known), pk, "left_anti").select(pk, *[given[c].alias(c) for c in names])
+        return met.unionByName(added)
+
+    def _buckets(self, state: dict) -> set[str]:
+        return {*state.get("base", {}), *state.get("deltas", {})}
 
     def read(self, table: str, columns: list[str] | None = None) -> DataFrame:
         """The newest snapshot. Before the first one this is an empty table with ``columns``."""
-        _, record = self._newest(table)
-        if record is not None:
-            return self._rows(table, record, record["buckets"])
-        if columns is None:
-            raise ValueError(f"{table} has no snapshot yet; name its columns to read it as empty")
-        return self.spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+        state = self.state(table)
+        if "columns" not in state:
+            if columns is None:
+                raise ValueError(f"{table} has no snapshot yet; name its columns to read it as empty")
+            return self.spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+        pk, *names = state["columns"]
+        return self._merged(table, state, self._buckets(state)).select(pk, *[F.col(c)["value"].alias(c) for c in names])
 
     def is_small(self, table: str) -> bool:
         """Whether the newest snapshot fits a broadcast; measured once per version, and only if its files are small."""
-        version, record = self._newest(table)
-        if record is None:
+        state = self.state(table)
+        if "columns" not in state:
             return True
-        if record["bytes"] > BROADCAST_BYTES:
+        if _bytes(state) > BROADCAST_BYTES:
             return False
-        name = f"{table}/{version}"
+        name = f"{table}/{state['version']}"
         if name not in self._small:
-            self._small[name] = fits_broadcast(self._rows(table, record, record["buckets"]))
+            self._small[name] = fits_broadcast(self.read(table))
         return self._small[name]
 
     def upsert(
@@ -86,71 +163,74 @@ class DimensionStore:
         """
         with scratch(self.spark):
             fresh = latest_dim_columns(changes, table, pk, [cols] if isinstance(cols, str) else sorted(cols))
-            return self._merge(fresh, table, pk, batch_id, job_id(self.spark) if job is None else job)
+            return self._append(fresh, table, pk, batch_id, job_id(self.spark) if job is None else job)
 
     def put(self, rows: DataFrame, table: str, pk: str, batch_id: int = 0, *, job: str = "load") -> bool:
-        """Merge whole rows, for a first load or a back-fill."""
+        """Merge whole rows with one key each, for a first load or a back-fill."""
         given = [F.struct(F.col(c).cast("string").alias("value")).alias(c) for c in rows.columns if c != pk]
         with scratch(self.spark):
-            return self._merge(rows.select(F.col(pk).cast("string").alias(pk), *given), table, pk, batch_id, job)
+            return self._append(rows.select(F.col(pk).cast("string").alias(pk), *given), table, pk, batch_id, job)
 
-    def _merge(self, fresh: DataFrame, table: str, pk: str, batch_id: int, job: str) -> bool:
-        version, record = self._newest(table)
-        if record is not None and record["job"] == job and record["batch"] >= batch_id:
+    def _append(self, fresh: DataFrame, table: str, pk: str, batch_id: int, job: str) -> bool:
+        log = self._log(table)
+        state = log.state()
+        done = state["jobs"].get(job)
+        if done and done[0] >= batch_id:
             return False
-        bucket = F.pmod(F.xxhash64(pk), F.lit(self.buckets)).cast("int")
-        fresh = materialize(fresh, "changes")
-        touched = [str(r[0]) for r in fresh.select(bucket).distinct().collect()]  # as many as there are buckets
-        names = [c for c in fresh.columns if c != pk]
-        columns = [pk, *names]
-        new = {c: F.col(c)["value"] for c in names}
-        if record is None:
-            merged, placed = fresh.select(pk, *[v.alias(c) for c, v in new.items()]), {}
-        else:
-            old = self._rows(table, record, touched)
-            columns = list(dict.fromkeys([*record["columns"], *columns]))
-            stays = sized_join(old, fresh.select(pk), [pk], "left_anti", skewed=False)
-            replaced = sized_join(old, fresh.select(pk), [pk], "left_semi", skewed=False)
-            had = replaced.select(pk, *[F.col(c).alias(f"_had_{c}") for c in record["columns"] if c != pk])
-            met = sized_join(fresh, had, [pk], "left", skewed=False)
-            stored = {c: F.col(f"_had_{c}") for c in record["columns"] if c != pk}
-            none = F.lit(None).cast("string")
-            value = {
-                c: F.when(F.col(c).isNotNull(), new[c]).otherwise(stored.get(c, none)) if c in new else stored[c]
-                for c in columns if c != pk
-            }
-            updated = met.select(pk, *[v.alias(c) for c, v in value.items()])
-            kept = stays.select(pk, *[(F.col(c) if c in stays.columns else none).alias(c) for c in columns if c != pk])
-            merged, placed = kept.unionByName(updated), record["buckets"]
-        facts = {
-            "columns": columns, "buckets": {**placed, **dict.fromkeys(touched, version + 1)}, "time": time.time(),
-            "bytes": 0,
+        columns = list(dict.fromkeys([*state.get("columns", [pk]), *fresh.columns]))
+        # A first load may be large, so its buckets are made for its size.
+        count = state["count"] if "count" in state else max(1, math.ceil(measured_bytes(fresh) / self.bucket_bytes))
+        self._write(log, state, fresh, table, "base" if "count" not in state else "delta", columns, count, [], job, batch_id)
+        self.compact(table)
+        return True
+
+    def _write(
+        self, log: CommitLog, state: dict, rows: DataFrame, table: str, kind: str, columns: list[str], count: int, replaces: list[str],
+        job: str, batch: int,
+    ) -> None:
+        files, root, pk = SharedFiles(self.spark), self.path(table), columns[0]
+        now = time.time()
+        deleted = [v for v, since in state.get("stale", []) if now - since > self.keep_seconds]
+        version = log.claim(state, job, batch, alone=True)
+        staging, target = f"{root}/_staging/{version}", folder(root, version)
+        laid = rows.withColumn("bucket", bucket_of(F.xxhash64(pk), count)).repartition("bucket").sortWithinPartitions("bucket", pk)
+        laid.write.mode("overwrite").partitionBy("bucket").parquet(staging)
+        wrote: dict[str, list[int]] = {}
+        for name, size in data_files(files, staging).items():
+            part = wrote.setdefault(name.split("/")[0].removeprefix("bucket="), [0, 0])
+            part[0] += size
+            part[1] += 1
+        files.delete(target)  # what an attempt left that did not get as far as its entry
+        files.rename(staging, target)
+        log.publish(version, {
+            "job": job, "batch": batch, "kind": kind, "columns": columns, "count": count, "wrote": wrote, "replaces": replaces,
+            "deleted": deleted, "time": now,
+        })
+        for old in deleted:
+            files.delete(folder(root, old))
+
+    def compact(self, table: str) -> list[str]:
+        """Merge the buckets that have too many deltas, and split those that the table has outgrown; gives their names."""
+        log = self._log(table)
+        state = log.state()
+        base, deltas, count = state["base"], state["deltas"], state["count"]
+        wanted = max(count, math.ceil(_bytes(state) / self.bucket_bytes))
+        due = {
+            b for b, parts in deltas.items()
+            if len(parts) > self.delta_files or sum(p[1] for p in parts) > max(self.delta_bytes, self.delta_share * base.get(b, [0, 0])[1])
         }
-        laid = merged.withColumn("bucket", bucket).repartition("bucket")
-        done = write_batch_once(laid, self.path(table), batch_id, ["bucket"], job=job, facts=facts, sized=self._sizes(table, facts))
-        self._prune(table)
-        return done
-
-    def _sizes(self, table: str, facts: dict):
-        """Adds the bytes of all files that the record leads to, once those of its own version are known."""
-        def complete(version: int, written: dict[str, int]) -> dict:
-            files, total = SharedFiles(self.spark), sum(written.values())
-            for other in set(facts["buckets"].values()) - {version}:
-                record = commit_record(files, self.path(table), other) or {"files": {}}
-                mine = {f"bucket={b}" for b, v in facts["buckets"].items() if v == other}
-                total += sum(size for name, size in record["files"].items() if name.split("/")[0] in mine)
-            return {"bytes": total}
-
-        return complete
-
-    def _prune(self, table: str) -> None:
-        files = SharedFiles(self.spark)
-        records = {v: commit_record(files, self.path(table), v) for v in self.versions(table)}
-        order = sorted(records)
-        # A record is replaced when the next one is written.
-        replaced = {v: records[after]["time"] for v, after in zip(order, order[1:])}
-        limit = time.time() - self.keep_seconds
-        needed = {v for v in order if v in order[-self.keep:] or replaced[v] > limit}
-        needed |= {v for n in list(needed) for v in records[n]["buckets"].values()}
-        for version in set(order) - needed:
-            files.delete(f"{self.path(table)}/batch={version}")
+        for new in range(count, wanted):
+            source = _twin(new)
+            while source >= count:
+                source = _twin(source)
+            due.add(str(source))
+        due &= self._buckets(state)
+        if not due and wanted == count:
+            return []
+        rows, number = self._merged(table, state, due), state["jobs"].get(_MERGE, [-1])[0] + 1
+        self._write(log, state, rows, table, "base", state["columns"], wanted, sorted(due), _MERGE, number)
+        return sorted(due)
+
+
+def _bytes(state: dict) -> int:
+    return sum(p[1] for p in state["base"].values()) + sum(p[1] for parts in state["deltas"].values() for p in parts)

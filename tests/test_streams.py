@@ -1,6 +1,7 @@
 """Jobs, snapshots and sinks over several micro-batches, with replays."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,9 @@ from millrace.sources.config import config_from_jdbc, config_from_parquet, confi
 from millrace.sources.marts import ConsoleMarts, JdbcMarts, ParquetMarts
 from millrace.sources.topics import ConsoleTopics, FolderTopics, KafkaTopics
 from millrace.streaming.counts import CountWindowStream
-from millrace.streaming.dimensions import DimensionStore
+from millrace.streaming import log as log_module
+from millrace.streaming.dimensions import DimensionStore, _twin, bucket_of
+from millrace.streaming.log import CommitLog, ConcurrentWrite, LostFiles
 from millrace.streaming.once import read_committed, write_batch_once
 
 
@@ -77,7 +80,7 @@ def stored(store):
 
 
 def test_snapshots(spark, rows, tmp_path):
-    store = DimensionStore(spark, str(tmp_path), keep_seconds=0, buckets=1)
+    store = DimensionStore(spark, str(tmp_path), keep_seconds=0, delta_files=1)
     assert store.read(C.DIM_SONG, ["source_id", "name"]).count() == 0 and store.is_small(C.DIM_SONG)
     store.upsert(songs(rows, ("a", "1", 1), ("a", "2", 2), ("b", "1", 1)), C.DIM_SONG, *SONGS, 0)
     assert stored(store) == {"a": "2", "b": "1"}
@@ -87,7 +90,10 @@ def test_snapshots(spark, rows, tmp_path):
     assert not store.upsert(songs(rows, ("a", "wrong", 99)), C.DIM_SONG, *SONGS, 1)
     assert stored(store) == {"a": "2", "b": "9", "c": None}
     store.upsert(songs(rows, ("d", "1", 1)), C.DIM_SONG, *SONGS, 5)
-    assert store.versions(C.DIM_SONG) == [1, 2] and len(stored(store)) == 4
+    # Version 3 merged the two deltas with the first base; what it replaced goes with the next batch.
+    assert store.state(C.DIM_SONG)["base"] == {"0": [3, *store.state(C.DIM_SONG)["base"]["0"][1:]]} and len(stored(store)) == 4
+    store.upsert(songs(rows, ("e", "1", 1)), C.DIM_SONG, *SONGS, 6)
+    assert store.versions(C.DIM_SONG) == [3, 4] and len(stored(store)) == 5
 
 
 def test_a_new_checkpoint_appends(spark, rows, tmp_path):
@@ -104,17 +110,81 @@ def test_a_new_checkpoint_appends(spark, rows, tmp_path):
     assert stored(store) == {"a": "42", "b": "new"}
 
 
-def test_half_a_batch_is_neither_read_nor_taken_for_done(spark, tmp_path):
+def test_a_batch_counts_with_its_entry(spark, tmp_path):
     path, schema = str(tmp_path / "out"), spark.range(1).schema
     write_batch_once(spark.range(3), path, 0)
-    write_batch_once(spark.range(5).repartition(2), path, 1)
-    (next((tmp_path / "out" / "batch=1").glob("part-*.parquet"))).unlink()  # a copy that stopped half way
-    spark.range(4).write.parquet(f"{path}/batch=2")  # one without a record
+    spark.range(4).write.parquet(f"{path}/batch=1")  # what a crash leaves
     assert read_committed(spark, path, schema).count() == 3
-    assert write_batch_once(spark.range(5), path, 1)
+    assert write_batch_once(spark.range(5).repartition(2), path, 1)
     assert read_committed(spark, path, schema).count() == 8
 
 
+def test_a_lost_file_is_an_error_that_only_the_batchs_own_replay_mends(spark, tmp_path):
+    path, schema = str(tmp_path / "out"), spark.range(1).schema
+    write_batch_once(spark.range(3), path, 0, job="a")
+    write_batch_once(spark.range(5).repartition(2), path, 1, job="a")
+    (next((tmp_path / "out" / "batch=1").glob("part-*.parquet"))).unlink()
+    with pytest.raises(LostFiles):
+        read_committed(spark, path, schema)
+    assert write_batch_once(spark.range(2), path, 0, job="b")  # another job goes on, and takes nothing away
+    with pytest.raises(LostFiles):
+        read_committed(spark, path, schema)
+    assert write_batch_once(spark.range(5), path, 1, job="a")
+    assert read_committed(spark, path, schema).count() == 10 and not (tmp_path / "out" / "batch=1").exists()
+    assert not write_batch_once(spark.range(5), path, 1, job="a")
+
+
+def test_two_writers_lose_nothing(spark, tmp_path, monkeypatch):
+    """Both see the same newest version; each gets a version of its own."""
+    path, schema = str(tmp_path / "out"), spark.range(1).schema
+    write_batch_once(spark.range(1), path, 0, job="a")
+    seen = CommitLog(spark, path).state()
+    assert write_batch_once(spark.range(10), path, 1, job="a")
+    monkeypatch.setattr(CommitLog, "state", lambda self: json.loads(json.dumps(seen)))
+    assert write_batch_once(spark.range(100), path, 0, job="b")
+    monkeypatch.undo()
+    assert read_committed(spark, path, schema).count() == 111
+    # One that claimed a version and stopped leaves a gap, which its replay fills.
+    assert CommitLog(spark, path).claim(CommitLog(spark, path).state(), "c", 7) == 3
+    assert write_batch_once(spark.range(1000), path, 1, job="b") and read_committed(spark, path, schema).count() == 1111
+    assert write_batch_once(spark.range(10000), path, 7, job="c") and read_committed(spark, path, schema).count() == 11111
+    assert CommitLog(spark, path).state()["ranges"] == [[0, 4]]
+
+
+class Counted(SharedFiles):
+    """Counts what is opened and listed."""
+
+    calls: list = []
+
+    def read_text(self, path):
+        Counted.calls.append(path)
+        return super().read_text(path)
+
+    def names(self, path):
+        found = super().names(path)
+        Counted.calls.extend([path] * (1 + len(found)))
+        return found
+
+
+def test_the_log_costs_the_same_at_any_length(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(log_module, "SharedFiles", Counted)
+    log, costs = CommitLog(spark, str(tmp_path), every=4), []
+    for number in range(60):
+        Counted.calls = []
+        version = log.claim(log.state(), "job", number)
+        log.publish(version, {"job": "job", "batch": number, "files": {"a": 1, "b": 2}, "drops": [[number - 1, 2]] if number % 10 == 5 else []})
+        costs.append(len(Counted.calls))
+    assert max(costs[40:]) <= max(costs[8:24]) and max(costs) < 30
+    state = CommitLog(spark, str(tmp_path), every=4).state()
+    gone = [k - 1 for k in range(60) if k % 10 == 5]
+    assert [v for a, b in state["ranges"] for v in range(a, b + 1)] == [v for v in range(60) if v not in gone]
+    assert state["files"] == 2 * (60 - len(gone)) and state["jobs"] == {"job": [59, 59]}
+    # The entries alone tell the same.
+    for head in (tmp_path / "_log" / "heads").iterdir():
+        head.unlink()
+    assert CommitLog(spark, str(tmp_path), every=4).state() == state
+
+
 def test_stored_columns_survive_a_narrower_configuration(spark, rows, tmp_path):
     store = DimensionStore(spark, str(tmp_path))
     store.upsert(songs(rows, ("a", "1", 1), ("b", "2", 1)), C.DIM_SONG, *SONGS, 0)
@@ -122,16 +192,72 @@ def test_stored_columns_survive_a_narrower_configuration(spark, rows, tmp_path):
     assert stored(store) == {"a": "1", "b": "2", "c": None}
 
 
-def test_an_upsert_rewrites_the_buckets_of_its_keys(spark, rows, tmp_path):
-    store = DimensionStore(spark, str(tmp_path), keep_seconds=0)
-    store.upsert(songs(rows, *[(str(k), "1", 1) for k in range(200)]), C.DIM_SONG, *SONGS, 0)
-    store.upsert(songs(rows, ("7", "2", 1)), C.DIM_SONG, *SONGS, 1)
-    assert len(list((tmp_path / C.DIM_SONG / "batch=1").glob("bucket=*"))) == 1
-    assert stored(store) == {str(k): "2" if k == 7 else "1" for k in range(200)}
-    for batch in range(2, 5):
-        store.upsert(songs(rows, ("7", str(batch), 1)), C.DIM_SONG, *SONGS, batch)
-    # Version 0 still holds the other buckets; of the rest the two newest are left.
-    assert store.versions(C.DIM_SONG) == [0, 3, 4] and len(stored(store)) == 200
+def size_of(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+
+
+def test_an_upsert_writes_its_own_rows(spark, tmp_path):
+    """A thousand keys into many: under a hundredth of the table is written, and nothing of it is read."""
+    store = DimensionStore(spark, str(tmp_path), bucket_bytes=12_000_000, keep_seconds=0)
+    many = spark.range(1_000_000).select(F.col("id").cast("string").alias("source_id"), F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    store.put(many, C.DIM_SONG, "source_id")
+    before = store.read(C.DIM_SONG)
+    state, total = store.state(C.DIM_SONG), size_of(tmp_path / C.DIM_SONG)
+    assert state["count"] > 8 and len(state["base"]) == state["count"]
+    some = spark.range(0, 2_000_000, 2000).select(F.col("id").cast("string").alias("source_id"), F.lit("new").alias("name"))
+    store.put(some, C.DIM_SONG, "source_id", 1)
+    assert size_of(tmp_path / C.DIM_SONG) - total < total / 100
+    now = store.read(C.DIM_SONG)
+    assert now.count() == now.select("source_id").distinct().count() == 1_000_500 and now.filter("name = 'new'").count() == 1000
+    assert before.count() == 1_000_000 and before.filter("name = 'new'").count() == 0  # a reader of the version before
+    # The base is not shuffled to be merged with a few changes.
+    plan = now._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_merging_and_splitting_against_a_plain_table(spark, rows, tmp_path):
+    """Random batches with narrow and wide rows, replays and new columns, in a store that merges and splits often."""
+    rng, want, counts = random.Random(3), {}, []
+    store = DimensionStore(spark, str(tmp_path), keep_seconds=0, bucket_bytes=2_500, delta_bytes=1_500, delta_share=0.3, delta_files=2)
+    for batch in range(12):
+        columns = [["name"], ["name", "album"], ["album", "note"]][rng.randrange(3)]
+        given = {f"k{rng.randrange(40 * (batch + 1))}": [rng.choice(["x", "y", None, f"v{batch}"]) for _ in columns] for _ in range(30)}
+        frame = rows([(k, *v) for k, v in given.items()], "source_id string, " + ", ".join(f"{c} string" for c in columns))
+        assert store.put(frame, C.DIM_SONG, "source_id", batch) and not store.put(frame.limit(1), C.DIM_SONG, "source_id", batch)
+        for key, values in given.items():
+            want.setdefault(key, {}).update(zip(columns, values))
+        state = store.state(C.DIM_SONG)
+        counts.append(state["count"])
+        assert all(len(p) <= 2 for p in state["deltas"].values()) and all(int(b) < state["count"] for b in (*state["base"], *state["deltas"]))
+    got = {r["source_id"]: r.asDict() for r in store.read(C.DIM_SONG).collect()}
+    names = store.state(C.DIM_SONG)["columns"]
+    assert set(names) == {"source_id", "name", "album", "note"}
+    assert got == {k: {"source_id": k, **{c: v.get(c) for c in ("name", "album", "note")}} for k, v in want.items()}
+    assert counts[-1] > 2 and counts == sorted(counts)
+    there = {int(f.name.removeprefix("batch=")) for f in (tmp_path / C.DIM_SONG).glob("batch=*")}
+    assert there == set(store.versions(C.DIM_SONG))  # nothing else is left
+
+
+def test_rows_find_the_bucket_they_were_written_to(spark):
+    """A split moves rows of one bucket only, and into its twin."""
+    hashed = spark.range(500).select(F.xxhash64("id").alias("h"))
+    for count in range(1, 20):
+        for old, new in hashed.select(bucket_of(F.col("h"), count), bucket_of(F.col("h"), count + 1)).collect():
+            assert 0 <= old < count and new in (old, count) and (new == old or old == _twin(count))
+
+
+def test_a_writer_that_was_given_up_fails(spark, rows, tmp_path):
+    store = DimensionStore(spark, str(tmp_path))
+    store.upsert(songs(rows, ("a", "1", 1)), C.DIM_SONG, *SONGS, 0, job="old")
+    log = store._log(C.DIM_SONG)
+    slow = log.claim(log.state(), "old", 1, alone=True)
+    assert store.upsert(songs(rows, ("a", "2", 1)), C.DIM_SONG, *SONGS, 0, job="new")
+    with pytest.raises(ConcurrentWrite):
+        log.publish(slow, {"job": "old", "batch": 1})
+    assert stored(store) == {"a": "2"}
+    next((tmp_path / C.DIM_SONG).glob("batch=*/bucket=*/part-*.parquet")).unlink()
+    with pytest.raises(LostFiles):
+        store.read(C.DIM_SONG)
 
 
 def test_batches_leave_no_scratch(spark, rows, tmp_path, monkeypatch):
