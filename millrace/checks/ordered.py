@@ -74,6 +74,30 @@ def late_data_drop(spark, sf_dir):
     return windows.mark_late(arrived, "ts", ["arrival", "event_id"], 3600000, 10800000).select("event_id", "ms", "late")
 
 
+_SOURCES = 4
+_BY_SOURCE = ", ".join(
+    f"max(CASE WHEN user_id % {_SOURCES} = {k} THEN ms END) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m{k}"
+    for k in range(_SOURCES))
+_NAMES = [f"m{k}" for k in range(_SOURCES)]
+
+
+@check(f"""WITH arrived AS (
+  SELECT event_id, user_id, epoch_us(ts) // 1000 AS ms,
+    (epoch_us(ts) // 1000) + (event_id * 7919 % 10 + user_id % {_SOURCES} * 20) * 3600000 AS arrival FROM events),
+seen AS (SELECT *, {_BY_SOURCE} FROM arrived)
+SELECT event_id, ms, CASE WHEN {" OR ".join(n + " IS NULL" for n in _NAMES)} THEN false
+  ELSE (ms // 3600000 + 1) * 3600000 - 1 <= least({", ".join(_NAMES)}) - 3600000 END AS late FROM seen""")
+def late_data_by_partition(spark, sf_dir):
+    """Four source partitions, each 20 hours behind the one before: the slowest one says what is late."""
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    behind = F.pmod(F.col("event_id") * 7919, F.lit(10)) + F.pmod(F.col("user_id"), F.lit(_SOURCES)) * 20
+    arrived = load(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), ms.alias("ms"), (ms + behind * 3600000).alias("arrival"), F.pmod(F.col("user_id"), F.lit(_SOURCES)).alias("source")
+    )
+    marked = windows.mark_late_by_source(arrived, "ts", ["arrival", "event_id"], "source", 3600000, 3600000)
+    return marked.select("event_id", "ms", "late")
+
+
 def _grade(frame: pd.DataFrame, edges: list[float]) -> pd.DataFrame:
     grades = pd.Series(edges).searchsorted(frame["value"], side="right")
     return pd.DataFrame({"event_id": frame["event_id"], "grade": grades.astype("int64")})

@@ -15,6 +15,6 @@ from .marts import (
 from .parse import drop_fields, json_fields, parse_json, put_fields, to_records
 from .routing import LOGIN_ROUTE, PLAY_ROUTE, THREE_WAY, TWO_WAY, Route, only, route_events
 from .windows import (
-    apply_windows, arrival_positions, count_window, count_window_rest, late_rows, mark_late, on_time_rows,
+    apply_windows, arrival_positions, count_window, count_window_rest, late_rows, mark_late, mark_late_by_source, on_time_rows,
     tumbling_count,
 )

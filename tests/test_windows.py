@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import (
-    apply_windows, arrival_positions, count_window, count_window_rest, late_rows, login_heat, mark_late, on_time_rows,
+    apply_windows, arrival_positions, count_window, count_window_rest, late_rows, login_heat, mark_late, mark_late_by_source, on_time_rows,
     song_heat, tumbling_count,
 )
-from millrace.operators import marts
+from millrace.operators import marts, windows as windows_module
 
 
 @pytest.fixture
@@ -156,3 +156,27 @@ def test_login_keys_are_a_parameter(rows):
     )
     assert login_heat(df).count() == 2
     assert login_heat(df, keys=("province", "city", "district")).first()["login_times"] == 2
+
+
+@pytest.mark.parametrize("idle,cells", [(None, 2_000_000), (None, 7), (6, 2_000_000), (40, 10)])
+def test_late_rows_by_source(spark, rows, monkeypatch, idle, cells):
+    """The least of the sources' greatest times, against a plain pass over the rows; more sources than some ranges hold."""
+    rng = random.Random(idle or cells)
+    monkeypatch.setattr(windows_module, "CELLS", cells)
+    names = ["a", "b", None, "c"]
+    data = [(n, rng.choice(names[: 2 + n // 80]), None if rng.random() < 0.03 else n * 300 + rng.randrange(-9000, 9000) + 100_000) for n in range(260)]
+    want, peak, last, highest = [], {s: None for _, s, _ in data}, {}, None
+    for n, source, ms in data:
+        active = [peak[s] for s in peak if idle is None or n - last.get(s, -1) <= idle]
+        combined = min(active) if active and None not in active else None
+        if combined is not None and (highest is None or combined > highest):
+            highest = combined
+        seen = highest if idle else combined
+        want.append(seen is not None and ms is not None and ms // 5000 * 5000 + 4999 <= seen - 2000)
+        last[source] = n
+        if ms is not None:
+            peak[source] = max(ms, peak[source]) if peak[source] is not None else ms
+    df = rows(data, "n int, source string, ms long").selectExpr("n", "source", "timestamp_millis(ms) AS ts").repartition(5)
+    got = {r["n"]: r["late"] for r in mark_late_by_source(df, "ts", ["n"], "source", 5000, 2000, idle).collect()}
+    assert [got[n] for n in range(260)] == want and 0 < sum(want) < 260
+    assert mark_late_by_source(df.limit(0), "ts", ["n"], "source", 5000, 2000, idle).collect() == []
