@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from .. import constants as C
 from ..operators import lookup, parse, routing
 from ..plans import jobs
-from ..session import materialize, scratch_path
+from ..session import materialize, scratch, scratch_path
 from ..sources.config import config_from_rows
 from ..sources.marts import ParquetMarts
 from ..sources.topics import FolderTopics
+from ..streaming import keyed
 from ..streaming.counts import CountWindowStream
 from ..streaming.dimensions import DimensionStore
+from ..streaming.once import read_committed, write_batch_once
 from .inputs import (
     CHANGES_SQL, CONFIG_ROWS, MACHINES_SQL, REVENUE_SQL, WIDE_SQL, change_log, contract_dim, location_dim, log_text,
     order_changes, point_index, song_dim,
@@ -107,6 +109,73 @@ def stream_count_window(spark, sf_dir):
     return work.windows().select(F.first("event_id").over(window).alias("first_event"), "event_id", "window_pos")
 
 
+@check(f"""WITH ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id % {_BATCHES}, ts, event_id) - 1 AS seq, count(*) OVER (PARTITION BY user_id) AS total
+  FROM events)
+SELECT user_id, event_id, seq // 5 AS window_no, CAST(seq % 5 AS INTEGER) AS window_pos FROM ranked WHERE (seq // 5 + 1) * 5 <= total""")
+def stream_count_window_keyed(spark, sf_dir):
+    """Row-count windows by key, in operator state over several micro-batches."""
+    root = scratch_path(spark, "count-keyed")
+    events = load(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    ordered = in_batches(events, F.col("event_id") % _BATCHES, _BATCHES, root)
+    return _written(keyed.count_windows_by_key(ordered, 5, ["user_id"], ["ts", "event_id"]), root).drop("ts", "batch")
+
+
+@check(f"""SELECT event_id, user_id, epoch_us(ts) AS micros FROM (
+  SELECT event_id, user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY event_id % {_BATCHES}, ts, event_id) AS k FROM events) WHERE k = 1""")
+def stream_first_per_key(spark, sf_dir):
+    """The first event of every user over several micro-batches."""
+    root = scratch_path(spark, "first")
+    events = load(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id")
+    ordered = in_batches(events, F.col("event_id") % _BATCHES, _BATCHES, root)
+    found = _written(keyed.first_per_key(ordered, ["user_id"], ["ts", "event_id"]), root)
+    return found.select("event_id", "user_id", F.unix_micros("ts").alias("micros"))
+
+
+def _written(stream: DataFrame, root: str) -> DataFrame:
+    """All rows that a stream gives, each of its batches written once."""
+    query = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    query.foreachBatch(lambda df, k: write_batch_once(df, f"{root}/out", k)).start().awaitTermination()
+    return read_committed(spark=stream.sparkSession, path=f"{root}/out", schema=stream.schema)
+
+
+_HOUR = 3_600_000
+_ARRIVED_SQL = f"""arrived AS (SELECT event_id, event_type, epoch_us(ts) // 1000 AS ms,
+    epoch_us(ts) // 1000 + (event_id * 7919 % 10) * {_HOUR} AS arrival FROM events),
+spread AS (SELECT min(arrival) AS low, max(arrival) AS high FROM arrived),
+dealt AS (SELECT *, (arrival - low) * 6 // (high - low + 1) AS batch, (ms // {_HOUR} + 1) * {_HOUR} AS stop FROM arrived, spread),
+peaks AS (SELECT batch, max(ms) AS peak FROM dealt GROUP BY batch),
+clocks AS (SELECT batch, max(peak) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {_HOUR} AS clock FROM peaks),
+judged AS (SELECT *, coalesce(stop <= clock, false) AS late FROM dealt JOIN clocks USING (batch))"""
+
+
+@check(f"""WITH {_ARRIVED_SQL}
+SELECT 'late' AS route, event_type, stop, count(*) AS n FROM judged WHERE late GROUP BY ALL
+UNION ALL SELECT 'on time', event_type, stop, count(*) FROM judged WHERE NOT late AND stop <= (SELECT max(peak) - {_HOUR} FROM peaks) GROUP BY ALL""")
+def stream_late_rows(spark, sf_dir):
+    """Hourly counts of a stream in six batches, and how many rows of each window came too late for it."""
+    root = scratch_path(spark, "late")
+    events = load(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    arrival = F.unix_millis("ts") + F.pmod(F.col("event_id") * 7919, F.lit(10)) * _HOUR
+    low, high = events.agg(F.min(arrival), F.max(arrival)).first()
+    number = F.floor((arrival - low) * 6 / (high - low + 1)).cast("int")
+    ordered = in_batches(events, number, 6, root)
+    found = keyed.windows_and_late_rows(ordered, "ts", ["event_type"], size_ms=_HOUR, delay_ms=_HOUR, lanes=8)
+
+    def split(batch: DataFrame, k: int) -> None:
+        with scratch(spark):
+            counts, late = keyed.split_routes(materialize(batch), ordered.schema, ["event_type"], _HOUR)
+            write_batch_once(counts, f"{root}/counts", k)
+            write_batch_once(late, f"{root}/late", k)
+
+    query = found.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    query.foreachBatch(split).start().awaitTermination()
+    stop = F.unix_millis("window_end").alias("stop")
+    counts = read_committed(spark, f"{root}/counts").select(F.lit(keyed.ON_TIME).alias("route"), "event_type", stop, "n")
+    late = read_committed(spark, f"{root}/late").groupBy("event_type", stop).agg(F.count(F.lit(1)).alias("n"))
+    return counts.unionByName(late.select(F.lit(keyed.LATE).alias("route"), "event_type", "stop", "n"))
+
+
 @check(f"WITH {CHANGES_SQL}, {MACHINES_SQL} SELECT mid, province, city, address FROM machine_dim")
 def stream_dim_upsert(spark, sf_dir):
     """Change log -> dimension records -> snapshots merged batch by batch, in two jobs over the whole log."""
