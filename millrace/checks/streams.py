@@ -8,23 +8,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import constants as C
-from ..operators import lookup, parse, routing
+from ..operators import lookup, marts, parse, routing
 from ..plans import jobs
 from ..session import materialize, scratch, scratch_path
-from ..sources.config import config_from_rows
+from ..sources.config import ConfigHistory, config_from_rows
 from ..sources.marts import ParquetMarts
 from ..sources.topics import FolderTopics
 from ..streaming import keyed
 from ..streaming.counts import CountWindowStream
 from ..streaming.dimensions import DimensionStore
 from ..streaming.once import read_committed, write_batch_once
+from ..streaming.rollups import SummedMart
 from .inputs import (
     CHANGES_SQL, CONFIG_ROWS, MACHINES_SQL, REVENUE_SQL, WIDE_SQL, change_log, contract_dim, location_dim, log_text,
     order_changes, point_index, song_dim,
 )
 from .logs import _KINDS
 from .registry import check, load
-from .warehouse import _ORDER_COLUMNS, _REVENUE_COLUMNS, _WIDE_LOGINS, _WIDE_PLAYS, login_heat_sql, song_heat_sql
+from .warehouse import _ORDER_COLUMNS, _REVENUE_COLUMNS, _WIDE_LOGINS, _WIDE_PLAYS, login_heat_sql, song_heat_sql, wide_plays
 
 
 def stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -132,6 +133,43 @@ def stream_first_per_key(spark, sf_dir):
     return found.select("event_id", "user_id", F.unix_micros("ts").alias("micros"))
 
 
+@check(f"""WITH {_WIDE_PLAYS}
+SELECT strftime(at_ts, '%Y-%m-%d') AS data_dt, songid AS song_id, songname AS song_name, singer_info AS singer_name,
+       count(*) AS song_playtimes, count(*) AS singer_playtimes FROM plays_wide GROUP BY ALL""")
+def stream_rollup_song_daily(spark, sf_dir):
+    """Daily sums kept up by six micro-batches of hourly heat, with dates that are summed up on the way."""
+    root = scratch_path(spark, "daily")
+    heat = marts.song_heat(wide_plays(spark, sf_dir), size="1 hour").drop("window_start", "window_end")
+    mart = SummedMart(spark, f"{root}/mart", list(marts.SONG_KEYS), ["song_playtimes", "singer_playtimes"], delta_files=2)
+    hourly = in_batches(heat, F.pmod(F.xxhash64("song_id", "data_dt"), F.lit(6)), 6, root)
+    jobs.daily_sums(hourly, mart, f"{root}/checkpoint").awaitTermination()
+    return mart.read()
+
+
+_ROUNDS = 3
+
+
+@check(f"""WITH {CHANGES_SQL}, known AS (SELECT *, (xid % {_ROUNDS})::INTEGER AS round FROM changes JOIN conf USING (tbl))
+SELECT CASE WHEN kind = 'dim' AND round = 2 THEN sink_topic || '_2' ELSE sink_topic END AS topic, count(*) AS n
+FROM known WHERE kind = 'dim' OR round > 0 GROUP BY ALL""")
+def cdc_classify_config_history(spark, sf_dir):
+    """Facts are configured from the second of three batches on; then the dimensions leave the table, and come back with another topic."""
+    root = scratch_path(spark, "history")
+    rows = [dict(zip(C.CONFIG_SCHEMA.names, r)) for r in CONFIG_ROWS]
+    facts, dims = ([r for r in rows if (r["tbl_type"] == "dim") == wanted] for wanted in (False, True))
+    moved = [{**r, "sink_topic": r["sink_topic"] + "_2"} for r in dims]
+    tables = iter([dims, facts, moved])
+    topics = FolderTopics(f"{root}/topics")
+    log = change_log(spark, sf_dir).withColumn("xid", F.coalesce(F.get_json_object("value", "$.xid").cast("bigint"), F.lit(0)))
+    changes = in_batches(log, F.pmod("xid", F.lit(_ROUNDS)), _ROUNDS, root).select("value")
+    jobs.cdc_to_dwd(
+        changes, lambda s: config_from_rows([tuple(r.values()) for r in next(tables)])(s), topics, f"{root}/c1",
+        history=ConfigHistory(f"{root}/history"),
+    ).awaitTermination()
+    written = read_committed(spark, topics.path("dwd_changes"), C.RECORD_SCHEMA)
+    return written.filter("topic <> 'malformed'").groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _written(stream: DataFrame, root: str) -> DataFrame:
     """All rows that a stream gives, each of its batches written once."""
     query = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)

@@ -14,8 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import constants as C
 from ..operators import cdc, geo, lookup, marts, parse, routing
 from ..session import materialize, scratch
-from ..sources.config import ConfigLoader
+from ..sources.config import ConfigHistory, ConfigLoader
+from ..sources.offsets import GroupOffsets
 from ..streaming.dimensions import DimensionStore
+from ..streaming.rollups import SummedMart
 
 
 def _start(writer, every: str | None) -> StreamingQuery:
@@ -50,19 +52,34 @@ def _well_formed(source: DataFrame, schema: T.StructType) -> DataFrame:
 def user_log_to_dwd(
     source: DataFrame, sink, checkpoint: str, *,
     routes: Sequence[routing.Route] = routing.THREE_WAY, name: str = "dwd_user_log", every: str | None = None,
+    group: GroupOffsets | None = None,
 ) -> StreamingQuery:
-    """User log -> plays, logins and the rest, keyed records on one topic per route."""
+    """User log -> plays, logins and the rest, keyed records on one topic per route.
+
+    With a ``group`` each batch commits how far the source was read; give the same one to the topic's ``read_stream``.
+    """
+    if group:
+        def work(batch: DataFrame, batch_id: int) -> None:
+            sink.write_batch(routing.route_events(batch, routes), name, batch_id)
+
+        return _each_batch(source, group.tracked(work), checkpoint, every)
     return _start(sink.write_stream(routing.route_events(source, routes), name, checkpoint), every)
 
 
 def cdc_to_dwd(
     source: DataFrame, load_config: ConfigLoader, sink, checkpoint: str, *,
     flat: bool = False, fact_ops: Sequence[str] | None = None, name: str = "dwd_changes", every: str | None = None,
+    history: ConfigHistory | None = None,
 ) -> StreamingQuery:
-    """Database changes -> fact and dimension records, by a configuration that is read anew for every batch."""
+    """Database changes -> fact and dimension records, by a configuration that is read anew for every batch.
+
+    With a ``history`` rows that have left the configuration stay in force, and a replayed batch meets the configuration that
+    it met before.
+    """
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        matched = cdc.classify(cdc.parse_changes(batch), load_config(spark))
+        config = load_config(spark)
+        matched = cdc.classify(cdc.parse_changes(batch), history.at(config, batch_id) if history else config)
         wanted = cdc.wanted_kinds(matched, fact_ops)
         good = cdc.flat_records(wanted) if flat else cdc.records(wanted)
         sink.write_batch(good.unionByName(_malformed(batch)), name, batch_id)
@@ -183,3 +200,6 @@ def order_revenue(
     return _each_batch(revenue, lambda df, i: mart.write_batch(df, C.MART_ORDER, i), checkpoint, every)
 
 
+def daily_sums(source: DataFrame, mart: SummedMart, checkpoint: str, *, every: str | None = None) -> StreamingQuery:
+    """Rows of a mart -> their daily sums, which each batch adds to."""
+    return _each_batch(source, lambda df, i: mart.write_batch(df, i), checkpoint, every)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..constants import RECORD_SCHEMA
 from ..streaming.once import read_committed, write_batch_once
+from .offsets import GroupOffsets
 
 # ``offset`` is the place of a record in its batch, so that batch and offset tell in which order records arrived.
 _STORED_SCHEMA = T.StructType([*RECORD_SCHEMA.fields, T.StructField("offset", T.LongType()), T.StructField("batch", T.LongType())])
@@ -18,8 +19,8 @@ _STORED_SCHEMA = T.StructType([*RECORD_SCHEMA.fields, T.StructField("offset", T.
 class KafkaTopics:
     """Topics on a Kafka cluster. Needs Spark's Kafka connector on the class path.
 
-    A new stream starts at the earliest record or, with ``from_earliest=False``, at the end; a restarted one goes on
-    from its checkpoint. The sink honours a topic per record and delivers at least once.
+    A new stream starts where its ``group`` has come to, else at the earliest record or, with ``from_earliest=False``, at the
+    end; a restarted one goes on from its checkpoint. The sink honours a topic per record and delivers at least once.
     """
 
     servers: str
@@ -27,11 +28,11 @@ class KafkaTopics:
     max_per_trigger: int | None = None
     options: Mapping[str, str] = field(default_factory=dict)
 
-    def source_options(self, topic: str) -> dict[str, str]:
+    def source_options(self, topic: str, starting: str | None = None) -> dict[str, str]:
         found = {
             "kafka.bootstrap.servers": self.servers,
             "subscribe": topic,
-            "startingOffsets": "earliest" if self.from_earliest else "latest",
+            "startingOffsets": starting or ("earliest" if self.from_earliest else "latest"),
         }
         if self.max_per_trigger:
             found["maxOffsetsPerTrigger"] = str(self.max_per_trigger)
@@ -40,8 +41,9 @@ class KafkaTopics:
     def sink_options(self) -> dict[str, str]:
         return {"kafka.bootstrap.servers": self.servers, **self.options}
 
-    def read_stream(self, spark: SparkSession, topic: str) -> DataFrame:
-        raw = spark.readStream.format("kafka").options(**self.source_options(topic)).load()
+    def read_stream(self, spark: SparkSession, topic: str, group: GroupOffsets | None = None) -> DataFrame:
+        starting = group.starting(spark, topic) if group else None
+        raw = spark.readStream.format("kafka").options(**self.source_options(topic, starting)).load()
         return raw.withColumns({"key": F.col("key").cast("string"), "value": F.col("value").cast("string")})
 
     def write_stream(self, records: DataFrame, name: str, checkpoint: str):
@@ -70,11 +72,16 @@ class FolderTopics:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def read_stream(self, spark: SparkSession, topic: str, writer: str | None = None) -> DataFrame:
+    def read_stream(
+        self, spark: SparkSession, topic: str, writer: str | None = None, group: GroupOffsets | None = None
+    ) -> DataFrame:
+        """All records of a topic; with a ``group`` those after the versions that it has worked through."""
         reader = spark.readStream.schema(_STORED_SCHEMA)
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
-        return reader.parquet(self.path(writer or topic)).filter(F.col("topic") == topic)
+        records = reader.parquet(self.path(writer or topic)).filter(F.col("topic") == topic)
+        start = group.positions(spark).get(topic, {}).get(0) if group else None
+        return records if start is None else records.filter(F.col("batch") >= start)  # whole folders
 
     def read(self, spark: SparkSession, topic: str, writer: str | None = None) -> DataFrame:
         records = read_committed(spark, self.path(writer or topic), _STORED_SCHEMA)

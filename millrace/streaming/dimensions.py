@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import math
-import time
 from collections.abc import Collection, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..fs import SharedFiles
 from ..operators.cdc import latest_dim_columns
 from ..operators.joins import BROADCAST_BYTES, fits_broadcast, measured_bytes
 from ..session import scratch
-from .log import CommitLog
-from .once import data_files, folder, job_id, with_all_files
+from .once import job_id
+from .parts import PartedTable, held_bytes
 
 _MERGE = "_merge"  # the job that compacts
 
@@ -31,25 +29,6 @@ def _twin(bucket: int) -> int:
     return bucket - (1 << (bucket.bit_length() - 1))
 
 
-def _fold(state: dict, version: int, entry: dict) -> None:
-    """``base`` and ``deltas`` say for every bucket in which versions its rows lie, with their bytes and number of files;
-    ``stale`` are versions that nothing needs any more, with the time since when."""
-    base, deltas = state.setdefault("base", {}), state.setdefault("deltas", {})
-    live = lambda: {p[0] for p in base.values()} | {p[0] for parts in deltas.values() for p in parts}
-    before = live()
-    for bucket in entry["replaces"]:
-        base.pop(bucket, None)
-        deltas.pop(bucket, None)
-    for bucket, (size, files) in entry["wrote"].items():
-        if entry["kind"] == "base":
-            base[bucket] = [version, size, files]
-        else:
-            deltas.setdefault(bucket, []).append([version, size, files])
-    state["columns"], state["count"], state["time"] = entry["columns"], entry["count"], entry["time"]
-    stale = [s for s in state.get("stale", []) if s[0] not in entry["deleted"]]
-    state["stale"] = stale + [[v, entry["time"]] for v in sorted(before - live())]
-
-
 @dataclass
 class DimensionStore:
     """Dimension tables, all columns text, one row per key, in hash buckets of the key.
@@ -79,37 +58,27 @@ class DimensionStore:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def _log(self, table: str) -> CommitLog:
-        return CommitLog(self.spark, self.path(table), fold=_fold)
+    def parts(self, table: str) -> PartedTable:
+        return PartedTable(self.spark, self.path(table), "bucket")
 
     def state(self, table: str) -> dict:
         """What the commit log says of the table."""
-        return self._log(table).state()
+        return self.parts(table).state()
 
     def versions(self, table: str) -> list[int]:
-        """The versions that are needed or not yet deleted."""
-        state = self.state(table)
-        held = [*state.get("base", {}).values(), *(p for parts in state.get("deltas", {}).values() for p in parts), *state.get("stale", [])]
-        return sorted({part[0] for part in held})
+        return self.parts(table).versions()
 
     def _stored(self, table: str, columns: list[str], parts: Iterable[tuple[str, list]]) -> DataFrame:
-        """Stored rows of (bucket, part) as they are: the key, each other column as ``struct<value>``, null if it was not given."""
-        pk, names = columns[0], columns[1:]
+        """Stored rows as they are: the key, each other column as ``struct<value>``, null if it was not given."""
         value = T.StructType([T.StructField("value", T.StringType())])
         schema = T.StructType([
-            T.StructField(pk, T.StringType()), *[T.StructField(c, value) for c in names],
-            T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType()),
+            T.StructField(columns[0], T.StringType()), *[T.StructField(c, value) for c in columns[1:]], T.StructField("bucket", T.IntegerType()),
         ])
-        parts = list(parts)
-        folders = [f"{folder(self.path(table), part[0])}/bucket={bucket}" for bucket, part in parts]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        found = self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*folders)
-        return with_all_files(found, sum(part[2] for _, part in parts), self.path(table))
+        return self.parts(table).stored(schema, parts)
 
     def _merged(self, table: str, state: dict, buckets: Collection[str]) -> DataFrame:
         """One row per key of these buckets, each other column as ``struct<value>``."""
-        columns = state["columns"]
+        columns = state["facts"]["columns"]
         pk, names = columns[0], columns[1:]
         base = self._stored(table, columns, ((b, state["base"][b]) for b in buckets if b in state["base"]))
         deltas = [(b, part) for b in buckets for part in state["deltas"].get(b, [])]
@@ -129,25 +98,22 @@ class DimensionStore:
         added = changed.join(F.broadcast(known), pk, "left_anti").select(pk, *[given[c].alias(c) for c in names])
         return met.unionByName(added)
 
-    def _buckets(self, state: dict) -> set[str]:
-        return {*state.get("base", {}), *state.get("deltas", {})}
-
     def read(self, table: str, columns: list[str] | None = None) -> DataFrame:
         """The newest snapshot. Before the first one this is an empty table with ``columns``."""
         state = self.state(table)
-        if "columns" not in state:
+        if "facts" not in state:
             if columns is None:
                 raise ValueError(f"{table} has no snapshot yet; name its columns to read it as empty")
             return self.spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
-        pk, *names = state["columns"]
-        return self._merged(table, state, self._buckets(state)).select(pk, *[F.col(c)["value"].alias(c) for c in names])
+        pk, *names = state["facts"]["columns"]
+        return self._merged(table, state, self.parts(table).names(state)).select(pk, *[F.col(c)["value"].alias(c) for c in names])
 
     def is_small(self, table: str) -> bool:
         """Whether the newest snapshot fits a broadcast; measured once per version, and only if its files are small."""
         state = self.state(table)
-        if "columns" not in state:
+        if "facts" not in state:
             return True
-        if _bytes(state) > BROADCAST_BYTES:
+        if held_bytes(state) > BROADCAST_BYTES:
             return False
         name = f"{table}/{state['version']}"
         if name not in self._small:
@@ -172,65 +138,39 @@ class DimensionStore:
             return self._append(rows.select(F.col(pk).cast("string").alias(pk), *given), table, pk, batch_id, job)
 
     def _append(self, fresh: DataFrame, table: str, pk: str, batch_id: int, job: str) -> bool:
-        log = self._log(table)
-        state = log.state()
-        done = state["jobs"].get(job)
+        state = self.state(table)
+        done, known = state["jobs"].get(job), state.get("facts")
         if done and done[0] >= batch_id:
             return False
-        columns = list(dict.fromkeys([*state.get("columns", [pk]), *fresh.columns]))
+        columns = list(dict.fromkeys([*(known["columns"] if known else [pk]), *fresh.columns]))
         # A first load may be large, so its buckets are made for its size.
-        count = state["count"] if "count" in state else max(1, math.ceil(measured_bytes(fresh) / self.bucket_bytes))
-        self._write(log, state, fresh, table, "base" if "count" not in state else "delta", columns, count, [], job, batch_id)
+        count = known["count"] if known else max(1, math.ceil(measured_bytes(fresh) / self.bucket_bytes))
+        self._write(table, state, fresh, "delta" if known else "base", [], job, batch_id, columns, count)
         self.compact(table)
         return True
 
     def _write(
-        self, log: CommitLog, state: dict, rows: DataFrame, table: str, kind: str, columns: list[str], count: int, replaces: list[str],
-        job: str, batch: int,
+        self, table: str, state: dict, rows: DataFrame, kind: str, replaces: Iterable[str], job: str, batch: int, columns: list[str], count: int
     ) -> None:
-        files, root, pk = SharedFiles(self.spark), self.path(table), columns[0]
-        now = time.time()
-        deleted = [v for v, since in state.get("stale", []) if now - since > self.keep_seconds]
-        version = log.claim(state, job, batch, alone=True)
-        staging, target = f"{root}/_staging/{version}", folder(root, version)
+        pk = columns[0]
         laid = rows.withColumn("bucket", bucket_of(F.xxhash64(pk), count)).repartition("bucket").sortWithinPartitions("bucket", pk)
-        laid.write.mode("overwrite").partitionBy("bucket").parquet(staging)
-        wrote: dict[str, list[int]] = {}
-        for name, size in data_files(files, staging).items():
-            part = wrote.setdefault(name.split("/")[0].removeprefix("bucket="), [0, 0])
-            part[0] += size
-            part[1] += 1
-        files.delete(target)  # what an attempt left that did not get as far as its entry
-        files.rename(staging, target)
-        log.publish(version, {
-            "job": job, "batch": batch, "kind": kind, "columns": columns, "count": count, "wrote": wrote, "replaces": replaces,
-            "deleted": deleted, "time": now,
-        })
-        for old in deleted:
-            files.delete(folder(root, old))
+        self.parts(table).write(state, laid, kind, replaces, job, batch, self.keep_seconds, columns=columns, count=count)
 
     def compact(self, table: str) -> list[str]:
         """Merge the buckets that have too many deltas, and split those that the table has outgrown; gives their names."""
-        log = self._log(table)
-        state = log.state()
-        base, deltas, count = state["base"], state["deltas"], state["count"]
-        wanted = max(count, math.ceil(_bytes(state) / self.bucket_bytes))
-        due = {
-            b for b, parts in deltas.items()
-            if len(parts) > self.delta_files or sum(p[1] for p in parts) > max(self.delta_bytes, self.delta_share * base.get(b, [0, 0])[1])
-        }
+        parts = self.parts(table)
+        state = parts.state()
+        columns, count = state["facts"]["columns"], state["facts"]["count"]
+        wanted = max(count, math.ceil(held_bytes(state) / self.bucket_bytes))
+        due = parts.grown(state, self.delta_files, self.delta_bytes, self.delta_share)
         for new in range(count, wanted):
             source = _twin(new)
             while source >= count:
                 source = _twin(source)
             due.add(str(source))
-        due &= self._buckets(state)
+        due &= parts.names(state)
         if not due and wanted == count:
             return []
-        rows, number = self._merged(table, state, due), state["jobs"].get(_MERGE, [-1])[0] + 1
-        self._write(log, state, rows, table, "base", state["columns"], wanted, sorted(due), _MERGE, number)
+        number = state["jobs"].get(_MERGE, [-1])[0] + 1
+        self._write(table, state, self._merged(table, state, due), "base", due, _MERGE, number, columns, wanted)
         return sorted(due)
-
-
-def _bytes(state: dict) -> int:
-    return sum(p[1] for p in state["base"].values()) + sum(p[1] for parts in state["deltas"].values() for p in parts)

@@ -11,13 +11,15 @@ from millrace.fs import SharedFiles
 from millrace.operators import PointIndex, cdc
 from millrace.plans import jobs
 from millrace.session import materialize, scratch_path, scratch_root
-from millrace.sources.config import config_from_jdbc, config_from_parquet, config_from_rows, jdbc_options
+from millrace.sources.config import ConfigHistory, config_from_jdbc, config_from_parquet, config_from_rows, jdbc_options
 from millrace.sources.marts import ConsoleMarts, JdbcMarts, ParquetMarts
+from millrace.sources.offsets import GroupOffsets
 from millrace.sources.topics import ConsoleTopics, FolderTopics, KafkaTopics
 from millrace.streaming.counts import CountWindowStream
 from millrace.streaming import log as log_module
 from millrace.streaming.dimensions import DimensionStore, _twin, bucket_of
 from millrace.streaming.log import CommitLog, ConcurrentWrite, LostFiles
+from millrace.streaming.rollups import SummedMart
 from millrace.streaming.once import read_committed, write_batch_once
 
 
@@ -203,7 +205,7 @@ def test_an_upsert_writes_its_own_rows(spark, tmp_path):
     store.put(many, C.DIM_SONG, "source_id")
     before = store.read(C.DIM_SONG)
     state, total = store.state(C.DIM_SONG), size_of(tmp_path / C.DIM_SONG)
-    assert state["count"] > 8 and len(state["base"]) == state["count"]
+    assert state["facts"]["count"] > 8 and len(state["base"]) == state["facts"]["count"]
     some = spark.range(0, 2_000_000, 2000).select(F.col("id").cast("string").alias("source_id"), F.lit("new").alias("name"))
     store.put(some, C.DIM_SONG, "source_id", 1)
     assert size_of(tmp_path / C.DIM_SONG) - total < total / 100
@@ -227,10 +229,10 @@ def test_merging_and_splitting_against_a_plain_table(spark, rows, tmp_path):
         for key, values in given.items():
             want.setdefault(key, {}).update(zip(columns, values))
         state = store.state(C.DIM_SONG)
-        counts.append(state["count"])
-        assert all(len(p) <= 2 for p in state["deltas"].values()) and all(int(b) < state["count"] for b in (*state["base"], *state["deltas"]))
+        counts.append(state["facts"]["count"])
+        assert all(len(p) <= 2 for p in state["deltas"].values()) and all(int(b) < state["facts"]["count"] for b in (*state["base"], *state["deltas"]))
     got = {r["source_id"]: r.asDict() for r in store.read(C.DIM_SONG).collect()}
-    names = store.state(C.DIM_SONG)["columns"]
+    names = store.state(C.DIM_SONG)["facts"]["columns"]
     assert set(names) == {"source_id", "name", "album", "note"}
     assert got == {k: {"source_id": k, **{c: v.get(c) for c in ("name", "album", "note")}} for k, v in want.items()}
     assert counts[-1] > 2 and counts == sorted(counts)
@@ -249,7 +251,7 @@ def test_rows_find_the_bucket_they_were_written_to(spark):
 def test_a_writer_that_was_given_up_fails(spark, rows, tmp_path):
     store = DimensionStore(spark, str(tmp_path))
     store.upsert(songs(rows, ("a", "1", 1)), C.DIM_SONG, *SONGS, 0, job="old")
-    log = store._log(C.DIM_SONG)
+    log = store.parts(C.DIM_SONG).log()
     slow = log.claim(log.state(), "old", 1, alone=True)
     assert store.upsert(songs(rows, ("a", "2", 1)), C.DIM_SONG, *SONGS, 0, job="new")
     with pytest.raises(ConcurrentWrite):
@@ -276,6 +278,74 @@ def test_a_snapshot_gains_a_configured_column(spark, rows, tmp_path):
     assert stored(store) == {"a": None, "b": "2"}
 
 
+# ---------------------------------------------------------------- summed marts, kept configuration, group offsets
+
+
+def test_a_summed_mart_against_its_rows(spark, rows, tmp_path):
+    """Dates come and go over the batches; some are summed up on the way, and a replay adds nothing."""
+    rng, want = random.Random(8), {}
+    mart = SummedMart(spark, str(tmp_path / "mart"), ["song"], ["n", "m"], keep_seconds=0, delta_files=2)
+    with pytest.raises(ValueError):
+        mart.read()
+    for batch in range(7):
+        data = [(rng.choice(["2024-01-01", "2024-01-02", f"day {batch}", None]), rng.choice(["a", "b", None]), rng.randrange(9), None if rng.random() < 0.1 else 1)
+                for _ in range(25)]
+        frame = rows(data, "data_dt string, song string, n long, m int").repartition(3)
+        assert mart.write_batch(frame, batch) and not mart.write_batch(frame, batch)
+        for day, song, n, m in data:
+            held = want.setdefault((day, song), [0, None])
+            held[0] += n
+            held[1] = held[1] if m is None else m + (held[1] or 0)
+        assert all(len(p) <= 2 for p in mart.parts.state()["deltas"].values())
+    assert {(r["data_dt"], r["song"]): [r["n"], r["m"]] for r in mart.read().collect()} == want
+    touched = {f.name for f in (tmp_path / "mart" / f"batch={max(mart.parts.versions())}").glob("data_dt=*")}
+    assert touched and "data_dt=day 0" not in touched
+    assert {int(f.name.removeprefix("batch=")) for f in (tmp_path / "mart").glob("batch=*")} == set(mart.parts.versions())
+
+
+def test_configuration_is_kept(spark, rows, tmp_path):
+    history = ConfigHistory(str(tmp_path / "history"))
+
+    def at(batch, *table, job="j"):
+        found = history.at(rows([(n, "db", "dim", "id", "id", "T", topic) for n, topic in table], C.CONFIG_SCHEMA), batch, job=job)
+        return sorted((r["tbl_name"], r["sink_topic"]) for r in found.collect())
+
+    assert at(0) == []
+    assert at(1, ("a", "x"), ("b", "y")) == [("a", "x"), ("b", "y")]
+    assert at(2, ("b", "z")) == [("a", "x"), ("b", "z")]  # a row that left stays, a changed one changes
+    assert at(2, ("b", "changed since"), ("c", "new")) == [("a", "x"), ("b", "z")]  # a replay meets what the batch met
+    assert at(3, ("a", "x"), ("b", "z")) == [("a", "x"), ("b", "z")]
+    assert at(4, ("b", "y"), ("b", "w")) == [("a", "x"), ("b", "y")]  # two rows for one table: the same one on every run
+    assert at(0, ("c", "n"), job="new checkpoint") == [("a", "x"), ("b", "y"), ("c", "n")]
+    with pytest.raises(ValueError):
+        at(2, job="j")
+
+
+def test_a_new_checkpoint_starts_where_the_group_is(spark, rows, tmp_path):
+    inner, out, group = FolderTopics(str(tmp_path / "in")), FolderTopics(str(tmp_path / "out")), GroupOffsets(str(tmp_path / "groups"), "g")
+
+    def put(batch, *texts):
+        inner.write_batch(rows([(None, t, "log") for t in texts], C.RECORD_SCHEMA), "log", batch)
+
+    def run(name):
+        source = inner.read_stream(spark, "log", group=group)
+        jobs.user_log_to_dwd(source, out, str(tmp_path / name), group=group, name="r").awaitTermination()
+        return out.read(spark, "malformed", "r").count()
+
+    assert group.positions(spark) == {} and group.starting(spark, "log") is None
+    put(0, "one")
+    put(1, "two", "three")
+    assert run("c1") == 3 and group.positions(spark) == {"log": {0: 2}}
+    put(2, "four")
+    assert run("c2") == 4  # a new checkpoint takes only what is new
+    assert run("c1") == 4  # nor does the old one do again what the group has done
+    assert run("c3") == 4
+    assert group.starting(spark, "log") == '{"log": {"0": 3}}'
+    kafka = rows([("t", 0, 7), ("t", 1, 3), ("t", 0, 9)], "topic string, partition int, offset long")
+    assert group.commit(kafka, 50) and group.starting(spark, "t") == '{"t": {"0": 10, "1": 4}}'
+    assert KafkaTopics("h").source_options("t", group.starting(spark, "t"))["startingOffsets"] == '{"t": {"0": 10, "1": 4}}'
+
+
 # ---------------------------------------------------------------- count windows over a stream
 
 
