@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from .. import constants as C
-from .joins import sized_join
+from .joins import fits_broadcast, sized_join
 from .latest import latest_by_key
 
 
@@ -37,7 +37,11 @@ def lookup_join(
     fact_key, dim_key = on
     if latest or not unique:
         needed = list(dict.fromkeys([dim_key, *(latest or ()), *wanted.values()]))
-        dim = latest_by_key(dim.select(needed), [dim_key], latest or [])
+        dim = dim.select(needed)
+        # Measured before the latest rows are found, which would only be done twice; if these fit, so do those.
+        if join_options.get("small") is None and fits_broadcast(dim, join_options.get("broadcast_bytes")):
+            join_options["small"] = True
+        dim = latest_by_key(dim, [dim_key], latest or [])
     if df.schema[fact_key].dataType == dim.schema[dim_key].dataType:
         # Joining on the column itself lets a second lookup by it reuse the partitioning.
         left, key, dim_value = df, fact_key, F.col(dim_key)
