@@ -24,6 +24,7 @@ from .inputs import (
     order_changes, point_index, song_dim,
 )
 from .logs import _KINDS
+from .ordered import _gaps
 from .registry import check, load
 from .warehouse import _ORDER_COLUMNS, _REVENUE_COLUMNS, _WIDE_LOGINS, _WIDE_PLAYS, login_heat_sql, song_heat_sql, wide_plays
 
@@ -110,6 +111,22 @@ def stream_count_window(spark, sf_dir):
     return work.windows().select(F.first("event_id").over(window).alias("first_event"), "event_id", "window_pos")
 
 
+@check(f"""WITH ranked AS (
+  SELECT *, row_number() OVER (ORDER BY event_id % {_BATCHES}, ts, event_id) - 1 AS seq, count(*) OVER () AS total FROM events)
+SELECT event_id, first_value(event_id) OVER (PARTITION BY seq // 10 ORDER BY seq) AS first_event, rank() OVER (PARTITION BY seq // 10 ORDER BY value) AS value_rank
+FROM ranked WHERE (seq // 10 + 1) * 10 <= total""")
+def stream_count_window_apply(spark, sf_dir):
+    """A function on every row-count window of a stream, over several micro-batches."""
+    root = scratch_path(spark, "count-apply")
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "value")
+    ordered = in_batches(events, F.col("event_id") % _BATCHES, _BATCHES, root)
+    work = CountWindowStream(
+        spark, f"{root}/out", 10, ["arrived", "ts", "event_id"], fn=_gaps, schema="window_no long, event_id long, first_event long, value_rank long")
+    batches = ordered.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    batches.foreachBatch(lambda df, k: work(df.withColumn("arrived", F.lit(k)), k)).start().awaitTermination()
+    return work.windows().select("event_id", "first_event", "value_rank")
+
+
 @check(f"""WITH ranked AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id % {_BATCHES}, ts, event_id) - 1 AS seq, count(*) OVER (PARTITION BY user_id) AS total
   FROM events)

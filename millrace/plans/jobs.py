@@ -13,9 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import constants as C
 from ..operators import cdc, geo, lookup, marts, parse, routing
+from ..operators.windows import event_time
 from ..session import materialize, scratch
 from ..sources.config import ConfigHistory, ConfigLoader
 from ..sources.offsets import GroupOffsets
+from ..streaming import keyed
 from ..streaming.dimensions import DimensionStore
 from ..streaming.rollups import SummedMart
 
@@ -170,23 +172,51 @@ def order_wide(
     return _enrich(source, C.ORDER_SCHEMA, widen, [*location_columns, *C.CONTRACT_COLUMNS], sink, name, C.DWS_ORDER, checkpoint, every)
 
 
+def _millis(interval: str) -> int:
+    """A length such as "5 seconds"."""
+    number, unit = interval.split()
+    return int(number) * {"millisecond": 1, "second": 1000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}[unit.rstrip("s")]
+
+
+def _heat(rows, keys, counts, table, size, delay, mart, late, name, checkpoint, every) -> StreamingQuery:
+    """Windows of ``rows`` by their time ``_ts`` into the mart, and late rows into the topic ``late``, in one query."""
+    schema, width = rows.schema, _millis(size)
+    found = keyed.windows_and_late_rows(rows, "_ts", list(keys.values()), size_ms=width, delay_ms=_millis(delay))
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        closed, behind = keyed.split_routes(materialize(batch, "routes"), schema, list(keys.values()), width)
+        data_dt = F.date_format("window_start", C.DATE_FORMAT).alias("data_dt")
+        mart.write_batch(closed.select(*[F.col(c).alias(n) for n, c in keys.items()], *[F.col("n").alias(c) for c in counts], data_dt), table, batch_id)
+        late.write_batch(parse.to_records(behind.drop("_ts"), topic=keyed.LATE), name, batch_id)
+
+    return _each_batch(found, work, checkpoint, every)
+
+
 def song_hot(
     source: DataFrame, mart, checkpoint: str, *,
-    size: str = "5 seconds", delay: str = "3 seconds", every: str | None = None,
+    size: str = "5 seconds", delay: str = "3 seconds", every: str | None = None, late=None, name: str = "song_hot_late",
 ) -> StreamingQuery:
-    """Wide plays -> plays per song and window."""
-    heat = marts.song_heat(_well_formed(source, C.PLAY_WIDE_SCHEMA), size=size, delay=delay)
-    rows = heat.drop("window_start", "window_end")
+    """Wide plays -> plays per song and window. ``late`` is a sink for the plays that come after their window has closed."""
+    plays = _well_formed(source, C.PLAY_WIDE_SCHEMA)
+    if late:
+        timed = plays.withColumn("_ts", event_time("time"))
+        counts = ("song_playtimes", "singer_playtimes")
+        return _heat(timed, marts.SONG_KEYS, counts, C.MART_SONG_HOT, size, delay, mart, late, name, checkpoint, every)
+    rows = marts.song_heat(plays, size=size, delay=delay).drop("window_start", "window_end")
     return _each_batch(rows, lambda df, i: mart.write_batch(df, C.MART_SONG_HOT, i), checkpoint, every)
 
 
 def login_hot(
     source: DataFrame, mart, checkpoint: str, *,
-    keys: Sequence[str] = marts.LOGIN_KEYS, size: str = "5 seconds", delay: str = "3 seconds", every: str | None = None,
+    keys: Sequence[str] = marts.LOGIN_KEYS, size: str = "5 seconds", delay: str = "3 seconds", every: str | None = None, late=None,
+    name: str = "login_hot_late",
 ) -> StreamingQuery:
-    """Wide logins -> logins per place and window."""
-    heat = marts.login_heat(_well_formed(source, C.LOGIN_WIDE_SCHEMA), keys=keys, size=size, delay=delay)
-    rows = heat.drop("window_start", "window_end")
+    """Wide logins -> logins per place and window. ``late`` is a sink for the logins that come after their window has closed."""
+    logins = _well_formed(source, C.LOGIN_WIDE_SCHEMA)
+    if late:
+        timed = logins.withColumn("_ts", event_time("login_dt"))
+        return _heat(timed, {k: k for k in keys}, ("login_times",), C.MART_LOGIN, size, delay, mart, late, name, checkpoint, every)
+    rows = marts.login_heat(logins, keys=keys, size=size, delay=delay).drop("window_start", "window_end")
     return _each_batch(rows, lambda df, i: mart.write_batch(df, C.MART_LOGIN, i), checkpoint, every)
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-from ..operators.windows import arrival_positions, full_and_rest
+from ..operators.windows import apply_windows, arrival_positions, full_and_rest
 from ..session import scratch
 from .log import CommitLog
 from .once import committed_versions, job_id, read_committed, write_batch_once
@@ -15,7 +15,7 @@ from .once import committed_versions, job_id, read_committed, write_batch_once
 
 @dataclass
 class CountWindowStream:
-    """Full windows of ``n`` rows in arrival order, over all micro-batches together.
+    """Full windows of ``n`` rows in arrival order, over all micro-batches together; with ``fn`` what it makes of them.
 
     Each batch is ranked as a whole by the distributed two-pass rank, together with the rows the last batch left over.
     Fewer than ``n`` rows per key are carried on, as a small table per batch id. No operator state and no single task
@@ -27,6 +27,8 @@ class CountWindowStream:
     n: int
     order: Sequence[str]
     keys: Sequence[str] = ()
+    fn: Callable | None = None  # takes and gives a pandas frame of whole windows, as in apply_windows
+    schema: str | T.StructType | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         job = job_id(self.spark)
@@ -38,6 +40,8 @@ class CountWindowStream:
         rows = read_committed(self.spark, rest_path, batch.schema).select(batch.columns).unionByName(batch)
         with scratch(self.spark):
             full, rest = full_and_rest(arrival_positions(rows, self.order, self.keys), self.n, rows.columns)
+            if self.fn:
+                full = apply_windows(full, self.fn, self.schema, self.keys)
             # The rest is written last, in place of the one before: until then a replay finds the same rows to start from.
             write_batch_once(full, out_path, batch_id, job=job)
             write_batch_once(rest, rest_path, batch_id, job=job, drops=rests)

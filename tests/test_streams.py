@@ -510,6 +510,23 @@ def test_late_plays_of_a_later_batch_are_dropped(spark, topic, tmp_path):
     assert counts == [1, 3]
 
 
+def test_late_plays_come_out_on_their_own_topic(spark, topic, tmp_path):
+    """The same heat as above, and the play that came too late as it was."""
+    mart, out = ParquetMarts(str(tmp_path / "mart")), FolderTopics(str(tmp_path / "out"))
+
+    def wide(ms, song="s"):
+        return {"songid": song, "songname": "n", "singer_info": "x", "time": ms}
+
+    topic(wide(1000), wide(20000))
+    topic(wide(21000), wide(1001, "t"))  # the first window is closed
+    topic(wide(90000))
+    jobs.song_hot(topic.stream(), mart, str(tmp_path / "c"), late=out).awaitTermination()
+    got = sorted(tuple(r) for r in mart.read(spark, C.MART_SONG_HOT).select("song_id", "song_playtimes", "singer_playtimes", "data_dt").collect())
+    assert got == [("s", 1, 1, "1970-01-01"), ("s", 2, 2, "1970-01-01")]
+    late = values(out.read(spark, "late", "song_hot_late"))
+    assert [(v["songid"], v["time"], v["window_end"][:19]) for v in late] == [("t", 1001, "1970-01-01T00:00:05")]
+
+
 # ---------------------------------------------------------------- options of outside systems
 
 
