@@ -78,9 +78,10 @@ def put_fields(text: Column, **added: Column) -> Column:
         tail = F.to_json(F.struct(*[v.cast("string").alias(n) for n, v in added.items()]))  # without the null ones
         appended = F.concat(
             F.left(text, F.length(text) - 1), F.when(F.size(there) == 0, F.lit("")).otherwise(F.lit(",")),
-            F.substring(tail, F.lit(2), F.length(tail)),
+            F.substring(tail, 2, 2**31 - 1),
         )
-        return F.when(rebuild, F.to_json(without_nulls(rebuilt))).when(tail == "{}", text).otherwise(appended)
+        none = F.coalesce(*[v.cast("string") for v in added.values()]).isNull()
+        return F.when(rebuild, F.to_json(without_nulls(rebuilt))).when(none, text).otherwise(appended)
 
     return F.transform(F.array(F.json_object_keys(text)), put)[0]
 
