@@ -36,8 +36,9 @@ def config_from_rows(rows) -> ConfigLoader:
 class ConfigHistory:
     """The configuration as a job has come to know it: rows are put in by source table, and never go.
 
-    What the table says at a batch is compared with what is known, and new and changed rows, if any, are kept as the next version. A row that left the table stays in force. A batch meets the newest rows of its own
-    version and those before, also when it is replayed after the table has changed.
+    What the table says at a batch is compared with what is known, and new and changed rows, if any, are kept as the next
+    version. A row that left the table stays in force. A batch meets the newest rows of its own version and those before, also
+    when it is replayed after the table has changed.
     """
 
     path: str
