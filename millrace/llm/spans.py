@@ -1,9 +1,13 @@
 """Substring dedup with sliding sentence spans.
 
-Every sentence begins a span: the fewest consecutive sentences from there that are at least two and have at least 20 words.
-Spans are compared by a 128-bit hash of their words, case and punctuation aside. Of equal spans the first (by id, then by
-place) stays; a sentence covered by any other one is removed. So a passage that repeats goes sentence by sentence, wherever
-it begins and whatever stands around it.
+A span is a run of two or more sentences with 20 words or more, or one sentence with 50 words or more. Spans are compared
+by a 128-bit hash of their words, case and punctuation aside. Of equal spans the first (by id, then by place) stays; a sentence
+covered by any other one is removed. So a passage that repeats goes as a whole, wherever it begins and whatever stands around
+it. Only the shortest span from each sentence on, the shortest one up to each sentence, and the long sentences are hashed: in
+a longer span that repeats, each sentence lies in one of these, and they repeat with it. Their number grows with the text.
+
+A part without a word (a rule of dashes, a row of dots) is no sentence: no span begins or ends with it, and it goes only with
+the sentences around it.
 
 The first place of a hash is found by an aggregation that is combined before the shuffle; the spans meet only that one row
 per repeated hash. Texts move once, to meet the list of sentences to remove.
@@ -27,6 +31,8 @@ from .words import FOLD_WORDS
 
 SENTENCES = 2
 WORDS = 20
+# A sentence with so many words is a span of its own.
+ALONE = 50
 _END = re.compile(r"[.!?]+\s+|\n+")
 _BLANKED = bytes(b or 32 for b in FOLD_WORDS.tolist())
 
@@ -39,24 +45,44 @@ def sentences(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
-def span_hashes(text: str, least: int = SENTENCES, words: int = WORDS) -> Iterator[tuple[int, int, int, int]]:
-    """First sentence, number of sentences, and two halves of the hash of every span."""
-    parts = [part.encode().translate(_BLANKED).split() for part in sentences(text)]
-    folded = [b" ".join(p) for p in parts]
-    end = count = 0
-    for begin in range(len(parts)):
-        while end < len(parts) and (count < words or end - begin < least):
-            count += len(parts[end])
+def _shortest(sums: list[int], least: int, words: int) -> Iterator[tuple[int, int]]:
+    """The shortest runs of ``least`` sentences and ``words`` words from each sentence on and up to each; some come twice."""
+    number = len(sums) - 1
+    end = 0
+    for begin in range(number):
+        while end <= number and (end - begin < least or sums[end] - sums[begin] < words):
             end += 1
-        if count < words or end - begin < least:
-            return
+        if end > number:
+            break
+        yield begin, end
+    begin = 0
+    for end in range(least, number + 1):
+        while end - begin > least and sums[end] - sums[begin + 1] >= words:
+            begin += 1
+        if sums[end] - sums[begin] >= words:
+            yield begin, end
+
+
+def span_hashes(text: str, least: int = SENTENCES, words: int = WORDS, alone: int = ALONE) -> Iterator[tuple[int, int, int, int]]:
+    """First part, number of parts, and two halves of the hash of the spans that tell all others."""
+    folded, place, sums, long = [], [], [0], []
+    for k, part in enumerate(sentences(text)):
+        found = part.encode().translate(_BLANKED).split()
+        if found:
+            if len(found) >= alone:
+                long.append((len(place), len(place) + 1))
+            place.append(k)
+            folded.append(b" ".join(found))
+            sums.append(sums[-1] + len(found))
+    for begin, end in sorted({*_shortest(sums, least, words), *long}):
         digest = xxhash.xxh3_128_intdigest(b" ".join(folded[begin:end]))
-        yield begin, end - begin, (digest >> 64) - (1 << 63), (digest & (2**64 - 1)) - (1 << 63)
-        count -= len(parts[begin])
+        size = place[end - 1] + 1 - place[begin]
+        yield place[begin], size, (digest >> 64) - (1 << 63), (digest & (2**64 - 1)) - (1 << 63)
 
 
-def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = SENTENCES, words: int = WORDS) -> DataFrame:
-    """One row per document: the id, ``text`` without the removed sentences, ``n_sentences`` and ``n_removed``."""
+def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = SENTENCES, words: int = WORDS,
+          alone: int = ALONE) -> DataFrame:
+    """One row per document: the id, ``text`` without the removed sentences, ``n_sentences`` and ``n_removed`` (both count parts)."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("of"))
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,7 +91,7 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
                 part = batch.slice(at, 256)
                 row, found = [], []
                 for k, text in enumerate(part.column("text")):
-                    mine = list(span_hashes(text.as_py() or "", least, words))
+                    mine = list(span_hashes(text.as_py() or "", least, words, alone))
                     found.extend(mine)
                     row.extend([k] * len(mine))
                 begin, size, high, low = zip(*found) if found else ((),) * 4
