@@ -3,8 +3,8 @@
 The first pass scatters the records over buckets by a seeded hash; a bucket fits in a task's memory. The second pass shuffles
 each bucket by Fisher and Yates' method (Spark's ``shuffle``). Buckets one after the other are then a random order of all
 records, which is cut into shards whose counts differ by one at most; a shard is written as it comes. Where a record lands
-depends on the seed, the records and the number of buckets only: the buckets are dealt to a fixed number of tasks, sorted
-before they are shuffled, and each task's random numbers start from the seed and the task's number.
+depends on the seed, the records and the number of buckets only: every bucket has a task of its own, is sorted before it is
+shuffled, and its random numbers start from the seed and the bucket's number.
 
 Defined cases: null and empty texts are records of size 1; a null id and equal ids are scattered by the text as well, and
 rows that share both and would fill a bucket one by one; rows equal in all columns are interchangeable; an empty table gives no rows; fewer records than shards leave the last shards
@@ -36,19 +36,23 @@ def record_size(text: Column) -> Column:
 
 
 def _scatter(hashed: DataFrame, buckets: int, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Put ``_bucket`` for ``_hash``. Rows of a hash that alone would fill a bucket are scattered one by one."""
-    hot, _ = hot_keys(hashed, ["_hash"], 1 / buckets, min_rows) if buckets > 1 else ([], False)
-    spread = F.xxhash64("_hash", F.monotonically_increasing_id())
-    values = [key for key, in hot]
-    by = F.when(F.col("_hash").isin(values), spread).otherwise(F.col("_hash")) if values else F.col("_hash")
-    return hashed.withColumn("_bucket", F.pmod(by, F.lit(buckets)).cast("int")).drop("_hash")
+    """Put ``_bucket`` for ``_hash``. Rows of a hash that alone would fill a bucket are scattered by all their columns, and
+    rows that share those too, which nothing tells apart, one by one."""
+    rest = [c for c in hashed.columns if c != "_hash"]
+    for more in ([*rest], [F.monotonically_increasing_id()]):
+        hot = hot_keys(hashed, ["_hash"], 1 / buckets, min_rows)[0] if buckets > 1 else []
+        if not hot:
+            break
+        is_hot = F.col("_hash").isin([key for key, in hot])
+        hashed = hashed.withColumn("_hash", F.when(is_hot, F.xxhash64("_hash", *more)).otherwise(F.col("_hash")))
+    return hashed.withColumn("_bucket", F.pmod("_hash", F.lit(buckets)).cast("int")).drop("_hash")
 
 
 def shuffled(records: DataFrame, bucket: str, buckets: int, seed: int = SEED) -> DataFrame:
     """The records with ``_pos``, their 0-based place within their bucket after a Fisher-Yates shuffle."""
     columns = [c for c in records.columns if c != bucket]
-    # By a given number of partitions, so adaptive execution leaves the tasks' numbers alone.
-    dealt = records.repartition(buckets, bucket)
+    # A task per bucket, whose number is the bucket's.
+    dealt = records.repartitionById(buckets, bucket)
     packed = dealt.groupBy(bucket).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("_all"))
     in_order = packed.sortWithinPartitions(bucket)
     mixed = in_order.select(bucket, F.shuffle("_all", seed).alias("_all"))
