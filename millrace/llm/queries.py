@@ -85,8 +85,11 @@ WITH line AS (
 ), later AS (
   SELECT doc_id, k FROM pair WHERE run IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, k) > 1
+), later_long AS (
+  SELECT doc_id, k FROM line WHERE len(regexp_extract_all(value, '[^\x20\x09-\x0D]+')) > 50
+  QUALIFY row_number() OVER (PARTITION BY value ORDER BY doc_id, k) > 1
 ), gone AS (
-  SELECT DISTINCT doc_id, k + d AS k FROM later, (VALUES (0), (1)) AS t(d)
+  SELECT doc_id, k + d AS k FROM later, (VALUES (0), (1)) AS t(d) UNION SELECT doc_id, k FROM later_long
 ), kept AS (
   SELECT doc_id, count(*) AS n_lines, count(g.k) AS n_removed, coalesce(string_agg(value, chr(10) ORDER BY k) FILTER (g.k IS NULL), '') AS rest
   FROM line LEFT JOIN gone AS g USING (doc_id, k) GROUP BY doc_id
@@ -95,7 +98,7 @@ SELECT doc_id, CASE WHEN n_removed > 0 THEN rest ELSE text END AS text, coalesce
 FROM documents LEFT JOIN kept USING (doc_id)
 """)
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Later copies of repeated runs of two or more lines deleted."""
+    """Later copies of repeated runs of two or more lines, and of repeated lines of more than 50 words, deleted."""
     return line_dedup.dedup(load(spark, sf_dir, "documents"))
 
 
