@@ -1,9 +1,9 @@
 """Toxicity scores by weak supervision.
 
-Terms (whole words, and word beginnings of 4 to 8 bytes, as stems of inflected words) are counted by label in a bounded
-sample of the labelled rows. The most telling ones become lexicon voters, next to pattern voters for shouting, repetition
-and shape. A generative label model estimates from the votes on all documents how often each voter fires in either class, and
-how far voters that agree depend on each other; dependent voters are discounted. Its posterior labels of the sample, with
+Terms are counted by label in all labelled rows: whole words of any length, word beginnings of 4 to 8 bytes, as stems of
+inflected words, and, since many scripts put no blanks between words, short runs of non-ASCII characters from every position.
+The most telling ones become lexicon voters, next to pattern voters for shouting, repetition and shape. A generative label model estimates from the votes on all documents how often each voter fires in either class, and
+how far voters that agree depend on each other; dependent voters are discounted. Its posterior labels of a bounded sample of the labelled rows, with
 the given label as one more imperfect voter, train a linear classifier over the terms. Posterior labels are cautious where few
 voters speak, so the given labels of the sample tell in the end how likely label 1 is at a score (Platt's scaling). The
 classifier scores every whole text.
@@ -27,9 +27,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..operators.joins import sized_join
 from ..session import materialize
-from .words import Words, slices, split_words
+from .words import LANE, Words, slices, split_words
 
-# The classifier and the term counts are fitted on about so many labelled rows, taken by a hash of the id.
+# The classifier is fitted on about so many labelled rows, taken by a hash of the id.
 FIT_ROWS = 20_000
 FEATURES = 2048
 LEXICONS = 56
@@ -40,6 +40,10 @@ ROUNDS = 6
 LABEL_ACCURACY = 0.98
 SLICE_BYTES = 4 * 1024 * 1024
 STEMS = (4, 5, 6, 7, 8)
+# Kinds of terms: 0 a word of up to 8 bytes, 1 a longer one (its first four bytes and half of a hash of all), 4 to 8 a beginning
+# of so many bytes, and GRAM + 2, 3 and 4 runs of characters of so many bytes each, of the lengths below in bytes.
+LONG, GRAM = 1, 16
+GRAMS = {2: 8, 3: 6, 4: 4}
 PATTERNS = ("shouting", "marks", "repetition", "short", "no lexicon term")
 
 
@@ -48,16 +52,40 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def _grams(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, kind and bytes of every run of non-ASCII characters of the lengths in ``GRAMS``."""
+    data = words.data
+    word, kind, key = ([np.zeros(0, t)] for t in (np.int64, np.int64, np.uint64))
+    leads = np.flatnonzero(data >= 0xC2)
+    for width, size in GRAMS.items():
+        low, high = {2: (0xC2, 0xDF), 3: (0xE0, 0xEF), 4: (0xF0, 0xF4)}[width]
+        at = leads[leads + LANE <= len(data)]
+        for step in range(0, size, width):
+            at = at[(data[at + step] >= low) & (data[at + step] <= high)]
+        of = np.searchsorted(words.starts, at, side="right") - 1
+        inside = at + size <= words.starts[of] + words.lengths[of]
+        at, of = at[inside], of[inside]
+        view = np.ndarray((len(data) - LANE + 1,), dtype="<u8", buffer=data, strides=(1,))
+        word.append(of)
+        kind.append(np.full(len(at), GRAM + width))
+        key.append(view[at] & np.uint64((1 << (8 * size)) - 1))
+    return np.concatenate(word), np.concatenate(kind), np.concatenate(key)
+
+
 def _terms(words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place in ``chosen``, kind (0: whole word, else bytes of the beginning) and bytes of each term of these words."""
+    """Word, kind and key of each term of these words, runs of characters aside."""
     sizes = words.lengths[chosen]
-    place, kind, key = [], [], []
+    word, kind, key = [], [], []
     for size in (0, *STEMS):
-        some = np.flatnonzero(sizes <= 8 if size == 0 else sizes > size)
-        place.append(some)
+        some = chosen[sizes <= 8 if size == 0 else sizes > size]
+        word.append(some)
         kind.append(np.full(len(some), size))
-        key.append(words.prefix(chosen[some], size or 8))
-    return np.concatenate(place), np.concatenate(kind), np.concatenate(key)
+        key.append(words.prefix(some, size or 8))
+    some = chosen[sizes > 8]
+    word.append(some)
+    kind.append(np.full(len(some), LONG))
+    key.append(words.prefix(some, 4) | (words.hashes(some) & np.uint64(0xFFFFFFFF00000000)))
+    return np.concatenate(word), np.concatenate(kind), np.concatenate(key)
 
 
 class Terms:
@@ -65,6 +93,7 @@ class Terms:
 
     def __init__(self, kinds: Sequence[int], keys: Sequence[int]):
         self.count = len(kinds)
+        self._has_grams = any(kind > GRAM for kind in kinds)
         codes = _codes(np.array(kinds, np.int64), np.array(keys, np.int64).view(np.uint64))
         self._order = np.argsort(codes)
         self._codes = codes[self._order]
@@ -77,11 +106,12 @@ class Terms:
         if self.count == 0 or len(words.starts) == 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         chosen = np.flatnonzero(self._begins[_spot(words.prefix(slice(None), 4))])
-        place, kind, key = _terms(words, chosen)
+        parts = [_terms(words, chosen), *([_grams(words)] if self._has_grams else [])]
+        word, kind, key = (np.concatenate(p) for p in zip(*parts))
         codes = _codes(kind, key)
         at = np.minimum(np.searchsorted(self._codes, codes), self.count - 1)
         found = np.flatnonzero(self._codes[at] == codes)
-        text = np.searchsorted(words.first, chosen[place[found]], side="right") - 1
+        text = np.searchsorted(words.first, word[found], side="right") - 1
         pairs = np.unique(text * self.count + self._order[at[found]])
         return pairs // self.count, pairs % self.count
 
@@ -232,13 +262,13 @@ def _per_slice(column: str, compute: Callable[[pa.Array], Iterator[pa.RecordBatc
     return run
 
 
-def _term_counts(sample: DataFrame) -> DataFrame:
-    """``kind``, ``key``, and in how many texts of the sample, and toxic ones, each term stands."""
+def _term_counts(labelled: DataFrame) -> DataFrame:
+    """``kind``, ``key``, and in how many of the labelled texts, and toxic ones, each term stands."""
 
     def count(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         words = split_words(part.column("text"))
-        place, kind, key = _terms(words, np.arange(len(words.starts)))
-        text = np.searchsorted(words.first, place, side="right") - 1
+        word, kind, key = (np.concatenate(p) for p in zip(_terms(words, np.arange(len(words.starts))), _grams(words)))
+        text = np.searchsorted(words.first, word, side="right") - 1
         order = np.lexsort((text, key, kind))
         text, kind, key = text[order], kind[order], key[order]
         fresh = np.ones(len(text), bool)
@@ -253,7 +283,7 @@ def _term_counts(sample: DataFrame) -> DataFrame:
             names=["kind", "key", "n", "pos"],
         )
 
-    found = sample.mapInArrow(_per_slice("text", count), "kind bigint, key bigint, n bigint, pos bigint")
+    found = labelled.mapInArrow(_per_slice("text", count), "kind bigint, key bigint, n bigint, pos bigint")
     return found.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).filter(F.col("n") >= LEAST_ROWS)
 
 
@@ -285,14 +315,17 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     usable = labels.filter(F.col(id_col).isNotNull() & F.col(toxic_col).isNotNull() & ~held_out(F.col(id_col)))
     known = usable.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(toxic_col).cast("int")).alias("toxic"))
+    known = materialize(known, "known")
     rows = known.count()
     part = F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, fit_rows / max(rows, 1)))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = materialize(sized_join(texts.filter("id IS NOT NULL"), known.filter(part), ["id"], "inner"), "sample")
+    named = texts.filter("id IS NOT NULL")
+    labelled = sized_join(named, known, ["id"], "inner")
+    sample = materialize(sized_join(named, known.filter(part), ["id"], "inner"), "sample")
 
-    number = sample.agg(F.sum("toxic"), F.count(F.lit(1))).first()
+    number = labelled.agg(F.sum("toxic"), F.count(F.lit(1))).first()
     positive, total = number[0] or 0, number[1]
-    counts = _term_counts(sample.select("text", "toxic"))
+    counts = _term_counts(labelled.select("text", "toxic"))
     pos, neg = F.col("pos") + 0.5, F.col("n") - F.col("pos") + 0.5
     odds = F.log(pos / (positive + 1)) - F.log(neg / (total - positive + 1))
     ranked = counts.withColumn("z", odds / F.sqrt(1 / pos + 1 / neg))
@@ -349,9 +382,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         model = _next_model(sums, gold)
 
     trust = np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
-    wanted = _logistic(model.logit(votes) + np.where(toxic > 0, trust, -trust)) if total else np.zeros(0)
-    hits = seen["hits"].combine_chunks() if total else pa.array([], pa.list_(pa.int32()))
-    sizes = hits.value_lengths().to_numpy(zero_copy_only=False) if total else np.zeros(0, np.int64)
+    wanted = _logistic(model.logit(votes) + np.where(toxic > 0, trust, -trust)) if len(toxic) else np.zeros(0)
+    hits = seen["hits"].combine_chunks() if len(toxic) else pa.array([], pa.list_(pa.int32()))
+    sizes = hits.value_lengths().to_numpy(zero_copy_only=False) if len(toxic) else np.zeros(0, np.int64)
     weights = _scaled(np.repeat(np.arange(len(sizes)), sizes), hits.flatten().to_numpy(), wanted, toxic, terms.count)
     return Classifier(terms, weights)
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 # A word is a run of bytes that are ASCII digits, ASCII letters or not ASCII; A-Z count as a-z.
 _BYTES = np.arange(256, dtype=np.uint8)
@@ -15,6 +16,8 @@ _FOLDED = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(
 _IS_WORD = ((_FOLDED >= 48) & (_FOLDED <= 57)) | ((_FOLDED >= 97) & (_FOLDED <= 122)) | (_FOLDED >= 128)
 FOLD_WORDS = np.where(_IS_WORD, _FOLDED, 0).astype(np.uint8)
 LANE = 8
+# Words with more lanes are hashed one by one.
+HASHED_LANES = 16
 _KEEP = np.array([(1 << (8 * n)) - 1 for n in range(LANE)] + [(1 << 64) - 1], dtype=np.uint64)
 
 
@@ -39,6 +42,21 @@ class Words:
         view = np.ndarray((len(self.data) - LANE + 1,), dtype="<u8", buffer=self.data, strides=(1,))
         return view[self.starts[words]] & _KEEP[np.minimum(self.lengths[words], size)]
 
+    def hashes(self, words: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of all bytes of each of these words."""
+        found = self.lane(words, 0) ^ self.lengths[words].astype(np.uint64)
+        longer, number = np.flatnonzero(self.lengths[words] > LANE), 1
+        while len(longer) and number < HASHED_LANES:
+            mixed = (found[longer] ^ (found[longer] >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+            found[longer] = mixed + self.lane(words[longer], number)
+            number += 1
+            longer = longer[self.lengths[words[longer]] > LANE * number]
+        for k in longer:  # few words are so long
+            begin = self.starts[words[k]]
+            found[k] = xxhash.xxh64_intdigest(self.data[begin: begin + self.lengths[words[k]]])
+        found = (found ^ (found >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        return found ^ (found >> np.uint64(29))
+
 
 def split_words(column: pa.Array) -> Words:
     """Split every text of a string column. Null is a text without words."""

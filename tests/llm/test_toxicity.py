@@ -65,3 +65,59 @@ def test_scaled_scores_are_as_likely_as_they_say():
     assert abs(slope - 4) < 0.3 and abs(shift - 8) < 0.6
     # One class tells nothing, and an order the labels contradict is not turned round.
     assert X._scaling(logit, np.ones(20_000)) == (1.0, 0.0) and X._scaling(-logit, toxic) == (1.0, 0.0)
+
+
+def kinds_and_keys(texts):
+    import numpy as np
+    import pyarrow as pa
+    from millrace.llm.words import split_words
+
+    words = split_words(pa.array(texts))
+    parts = X._terms(words, np.arange(len(words.starts))), X._grams(words)
+    found = {k: set() for k in range(len(texts))}
+    for word, kind, key in parts:
+        for text, term in zip(np.searchsorted(words.first, word, side="right") - 1, zip(kind.tolist(), key.tolist())):
+            found[int(text)].add(term)
+    return found
+
+
+def test_words_are_known_whole_and_characters_from_every_position():
+    found = kinds_and_keys(["internationalise", "internationalist", "x" * 5000 + "a", "x" * 5000 + "b", "これはばかです", "ばか", "かばを見た",
+                            "а«дурак»", "дурак", None, "a 🤬b", "🤬"])
+    long = [{t for t in found[k] if t[0] == X.LONG} for k in range(4)]
+    assert all(len(t) == 1 for t in long) and long[0] != long[1] and long[2] != long[3]
+    grams = {k: {t for t in found[k] if t[0] > X.GRAM} for k in found}
+    assert len(grams[5]) == 1 and grams[5] <= grams[4] and not grams[5] & grams[6]
+    assert len(grams[8]) == 2 and grams[8] <= grams[7]
+    assert grams[10] == grams[11] != set() and not found[9]
+    # Texts follow one another without a blank: nothing is read across.
+    assert not any(t[0] > X.GRAM for t in kinds_and_keys(["ば", "か"])[0])
+
+
+def labelled(spark, telling, plain, rows=1200):
+    """Every third text toxic by one telling word only; all labelled, so a third is held out."""
+    import random
+
+    rng = random.Random(3)
+    own = lambda: " ".join(f"w{rng.randint(0, 400)}" for _ in range(30))
+    data = [(k, f"{own()} {telling if k % 3 == 0 else plain} {own()}", int(k % 3 == 0)) for k in range(rows)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in data], "doc_id long, text string")
+    return docs, spark.createDataFrame([(k, y) for k, _, y in data], "doc_id long, toxic int")
+
+
+def test_telling_ends_of_long_words_and_words_without_blanks(spark):
+    for telling, plain in (("internationalise", "internationalist"), ("今日はばかですね", "今日はよいですね")):
+        docs, labels = labelled(spark, telling, plain)
+        rows = X.scores(docs, labels).filter("held_out").join(labels, "doc_id").collect()
+        pairs, precision, recall = quality(rows)
+        assert pairs > 0.99 and precision > 0.99 and recall > 0.95
+
+
+def test_terms_are_counted_in_all_labelled_rows(spark):
+    docs, labels = labelled(spark, "badword", "goodword", 1500)
+    rare = F.when(F.col("doc_id") % 51 == 0, F.concat("text", F.lit(" seldomword"))).otherwise(F.col("text"))
+    model = X.fit(docs.withColumn("text", rare), labels, fit_rows=100)
+    import pyarrow as pa
+
+    low, high = model.terms.hits(X.split_words(pa.array(["none", "seldomword"])))
+    assert 1 in low  # some 20 of 1,000 labelled rows hold it, about two of the sample
