@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from .. import constants as C
 from ..operators import lookup, marts, parse, routing
 from ..plans import jobs
-from ..session import materialize, scratch, scratch_path
+from ..session import materialize, rocksdb_state, scratch, scratch_path
 from ..sources.config import ConfigHistory, config_from_rows
 from ..sources.marts import ParquetMarts
 from ..sources.topics import FolderTopics
@@ -188,9 +188,12 @@ def cdc_classify_config_history(spark, sf_dir):
 
 
 def _written(stream: DataFrame, root: str) -> DataFrame:
-    """All rows that a stream gives, each of its batches written once."""
+    """All rows that a stream with state of its own gives, each of its batches written once."""
     query = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
-    query.foreachBatch(lambda df, k: write_batch_once(df, f"{root}/out", k)).start().awaitTermination()
+    query = query.foreachBatch(lambda df, k: write_batch_once(df, f"{root}/out", k))
+    with rocksdb_state(stream.sparkSession):
+        running = query.start()
+    running.awaitTermination()
     return read_committed(spark=stream.sparkSession, path=f"{root}/out", schema=stream.schema)
 
 
@@ -223,8 +226,10 @@ def stream_late_rows(spark, sf_dir):
             write_batch_once(counts, f"{root}/counts", k)
             write_batch_once(late, f"{root}/late", k)
 
-    query = found.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
-    query.foreachBatch(split).start().awaitTermination()
+    query = found.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).foreachBatch(split)
+    with rocksdb_state(spark):
+        running = query.start()
+    running.awaitTermination()
     stop = F.unix_millis("window_end").alias("stop")
     counts = read_committed(spark, f"{root}/counts").select(F.lit(keyed.ON_TIME).alias("route"), "event_type", stop, "n")
     late = read_committed(spark, f"{root}/late").groupBy("event_type", stop).agg(F.count(F.lit(1)).alias("n"))

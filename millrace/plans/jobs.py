@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import constants as C
 from ..operators import cdc, geo, lookup, marts, parse, routing
 from ..operators.windows import event_time
-from ..session import materialize, scratch
+from ..session import materialize, rocksdb_state, scratch
 from ..sources.config import ConfigHistory, ConfigLoader
 from ..sources.offsets import GroupOffsets
 from ..streaming import keyed
@@ -189,7 +189,8 @@ def _heat(rows, keys, counts, table, size, delay, mart, late, name, checkpoint,
         mart.write_batch(closed.select(*[F.col(c).alias(n) for n, c in keys.items()], *[F.col("n").alias(c) for c in counts], data_dt), table, batch_id)
         late.write_batch(parse.to_records(behind.drop("_ts"), topic=keyed.LATE), name, batch_id)
 
-    return _each_batch(found, work, checkpoint, every)
+    with rocksdb_state(rows.sparkSession):
+        return _each_batch(found, work, checkpoint, every)
 
 
 def song_hot(

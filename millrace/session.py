@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .fs import SharedFiles
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings a job can switch on inside a running session.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -19,8 +22,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: ROCKSDB,
 }
 
 
@@ -31,6 +33,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streaming queries started inside keep their state in RocksDB, whatever the session is set to.
+
+    A query takes the settings that it is started with, so the session has its own again afterwards.
+    """
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 def local_session(cores: str | int = "*", partitions: int = 8, **settings: str) -> SparkSession:
     """A small local session for tests and measurements."""
     builder = (

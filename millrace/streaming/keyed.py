@@ -1,8 +1,9 @@
 """Operators with state of their own in Spark's state store.
 
 Windows that a timer closes, with late rows as a side output; the first row of every key; row-count windows by key. State lies
-in RocksDB (``session.tune``) and goes with the query's checkpoint: a restarted query goes on where it stopped, and a replayed
-batch starts from the state that it had started from. Rows travel as JSON text, so any columns that JSON can hold will do.
+in RocksDB, so start their queries inside of ``session.rocksdb_state`` or after ``session.tune``. It goes with the query's
+checkpoint: a restarted query goes on where it stopped, and a replayed batch starts from the state that it had started from.
+Rows travel as JSON text, so any columns that JSON can hold will do.
 """
 
 from __future__ import annotations

@@ -2,14 +2,22 @@
 
 from collections import Counter
 
+import duckdb
 import pytest
+from compare import differences
 from pyspark.sql import functions as F
 
-from millrace.session import materialize
+from millrace import constants as C
+from millrace.checks import ORACLES, QUERIES
+from millrace.plans import jobs
+from millrace.session import STATE_STORE, materialize
+from millrace.sources.marts import ParquetMarts
+from millrace.sources.topics import FolderTopics
 from millrace.streaming import keyed
 from millrace.streaming.once import read_committed, write_batch_once
 
 SCHEMA = "n int, k string, at timestamp, note string"
+PLAIN = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 
 
 @pytest.fixture
@@ -114,3 +122,34 @@ def test_a_replayed_batch_changes_nothing(spark, feed):
         feed.run(work, fail_once)
     got = feed.run(work)
     assert failed and sorted((r["window_no"], r["window_pos"], r["n"]) for r in got) == [(0, 0, 1), (0, 1, 2), (1, 0, 3), (1, 1, 4)]
+
+
+@pytest.fixture
+def plain_store(spark):
+    """A session that nobody tuned: Spark's own state store, which cannot hold what these operators keep."""
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, PLAIN)
+    yield
+    spark.conf.set(STATE_STORE, before)
+
+
+@pytest.mark.parametrize("name", ["stream_count_window_keyed", "stream_first_per_key", "stream_late_rows"])
+def test_queries_with_state_need_no_tuned_session(spark, rows, tmp_path, plain_store, name):
+    made = rows([(n, n * 1_234_567, n % 7, "ab"[n % 2]) for n in range(100)], "event_id long, ms long, user_id long, event_type string")
+    made = made.selectExpr("event_id", "CAST(timestamp_millis(ms) AS timestamp_ntz) AS ts", "user_id", "event_type")
+    made.write.parquet(str(tmp_path / "events.parquet"))
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert differences(QUERIES[name](spark, str(tmp_path)), db, ORACLES[name]) == ""
+    assert spark.conf.get(STATE_STORE) == PLAIN
+
+
+def test_heat_with_late_rows_needs_no_tuned_session(spark, rows, tmp_path, plain_store):
+    text = '{{"songid":"s","songname":"n","singer_info":"x","time":{}}}'
+    for k, ms in enumerate([1000, 60_000, 2000]):  # the last play comes after its window has closed
+        rows([(text.format(ms),)], "value string").coalesce(1).write.parquet(str(tmp_path / "in" / f"batch={k}"))
+    source = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "batch=*"))
+    mart, late = ParquetMarts(str(tmp_path / "mart")), FolderTopics(str(tmp_path / "topics"))
+    jobs.song_hot(source, mart, str(tmp_path / "c"), late=late).awaitTermination()
+    assert [r["song_playtimes"] for r in mart.read(spark, C.MART_SONG_HOT).collect()] == [1]
+    assert late.read(spark, keyed.LATE, "song_hot_late").count() == 1
