@@ -5,9 +5,12 @@ The test tables are read as file streams; tables that a stream writes go below t
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import constants as C
+from ..fs import SharedFiles
 from ..operators import lookup, marts, parse, routing
 from ..plans import jobs
 from ..session import materialize, rocksdb_state, scratch, scratch_path
@@ -17,7 +20,7 @@ from ..sources.topics import FolderTopics
 from ..streaming import keyed
 from ..streaming.counts import CountWindowStream
 from ..streaming.dimensions import DimensionStore
-from ..streaming.once import read_committed, write_batch_once
+from ..streaming.once import data_files, read_committed, write_batch_once
 from ..streaming.rollups import SummedMart
 from .inputs import (
     CHANGES_SQL, CONFIG_ROWS, MACHINES_SQL, REVENUE_SQL, WIDE_SQL, change_log, contract_dim, location_dim, log_text,
@@ -82,12 +85,39 @@ def stream_user_log_routes(spark, sf_dir):
     return written.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
+# About what a file of a batch holds: a task reads one or a few of them.
+_FILE_BYTES = 8 * 1024 * 1024
+
+
+def _dealt(df: DataFrame, number: Column) -> tuple[DataFrame, int]:
+    """``df`` stored by the number of the batch that each row belongs to, and the files that the largest batch needs."""
+    path = scratch_path(df.sparkSession, "batches")
+    stored = materialize(df.withColumn("_number", number.cast("bigint")), "batches", partition_by=["_number"], path=path)
+    sizes: dict[str, int] = {}
+    for name, size in SharedFiles(df.sparkSession).files(path).items():
+        sizes[name.split("/")[0]] = sizes.get(name.split("/")[0], 0) + size
+    return stored, max(1, math.ceil(max(sizes.values(), default=0) / _FILE_BYTES))
+
+
+def _put(stored: DataFrame, k: int, files: int, root: str) -> None:
+    """Batch ``k`` as exactly so many files, newer than those of the batches before; some are empty if rows are few."""
+    path, spark = f"{root}/in/batch={k}", stored.sparkSession
+    rows = stored.filter(F.col("_number") == k).drop("_number")
+    (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.parquet(path)
+    for _ in range(files - len(data_files(SharedFiles(spark), path))):
+        spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def _incoming(df: DataFrame, root: str, **options) -> DataFrame:
+    return df.sparkSession.readStream.schema(df.schema).options(**options).parquet(f"{root}/in/batch=*")
+
+
 def in_batches(df: DataFrame, number: Column, batches: int, root: str) -> DataFrame:
     """A stream over ``df`` with one micro-batch per value of ``number`` from 0 on."""
-    folder, stored = f"{root}/in", materialize(df.withColumn("_number", number), "batches")
+    stored, files = _dealt(df, number)
     for k in range(batches):
-        stored.filter(F.col("_number") == k).drop("_number").coalesce(1).write.parquet(f"{folder}/batch={k}")
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/batch=*")
+        _put(stored, k, files, root)
+    return _incoming(df, root, maxFilesPerTrigger=files)
 
 
 _BATCHES = 4
@@ -256,7 +286,7 @@ def stream_dim_upsert_deltas(spark, sf_dir):
 
 def _dim_stream(spark: SparkSession, sf_dir: str, flat: bool = False, batches: int = 3, **options) -> DataFrame:
     root = scratch_path(spark, "dim-upsert")
-    topics, store = FolderTopics(f"{root}/topics", max_files_per_trigger=1), DimensionStore(spark, f"{root}/dims", **options)
+    topics, store = FolderTopics(f"{root}/topics"), DimensionStore(spark, f"{root}/dims", **options)
     # In the order of time, so that the last arrival is the latest change.
     log = change_log(spark, sf_dir)
     if flat:
@@ -264,9 +294,13 @@ def _dim_stream(spark: SparkSession, sf_dir: str, flat: bool = False, batches: i
     timed = materialize(log.withColumn("ts", F.get_json_object("value", "$.ts").cast("bigint")), "log")
     bounds = timed.filter("ts > 0").agg(F.percentile_approx("ts", [k / batches for k in range(1, batches)], 100)).first()[0]
     number = sum((F.coalesce(F.col("ts") > b, F.lit(False)).cast("int") for b in bounds), F.lit(0))
-    changes = in_batches(timed, number, batches, root).select("value")
-    jobs.cdc_to_dwd(changes, config_from_rows(CONFIG_ROWS), topics, f"{root}/c1", flat=flat).awaitTermination()
-    jobs.dim_upsert(topics.read_stream(spark, C.DWD_DIM, "dwd_changes"), store, f"{root}/c2", flat=flat).awaitTermination()
+    stored, files = _dealt(timed, number)
+    for k in range(batches):
+        # Both jobs come to the end of each batch, so the second one takes a batch whole, however many files it is in.
+        _put(stored, k, files, root)
+        changes = _incoming(timed, root).select("value")
+        jobs.cdc_to_dwd(changes, config_from_rows(CONFIG_ROWS), topics, f"{root}/c1", flat=flat).awaitTermination()
+        jobs.dim_upsert(topics.read_stream(spark, C.DWD_DIM, "dwd_changes"), store, f"{root}/c2", flat=flat).awaitTermination()
     return store.read(C.DIM_MACHINE_LOCAL).select("mid", "province", "city", "address")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,15 +112,15 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             files.delete(path)
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+def materialize(df: DataFrame, label: str = "table", *, partition_by: Sequence[str] = (), path: str | None = None) -> DataFrame:
     """Write ``df`` once below the shared folder and read it back.
 
     This cuts the lineage for good: a lost executor cannot bring a different row order or different range borders.
     Unlike a checkpoint, the table is columnar, so later passes read only the columns they need. Inside of
-    :func:`scratch` it lasts as long as that.
+    :func:`scratch` it lasts as long as that. Columns to partition by must be the last ones.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = path or scratch_path(df.sparkSession, label)
     if getattr(_scope, "paths", None) is not None:
         _scope.paths.append(path)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,10 +3,13 @@
 import json
 import random
 
+import duckdb
 import pytest
+from compare import differences
 from pyspark.sql import functions as F
 
 from millrace import constants as C
+from millrace.checks import ORACLES, QUERIES, streams
 from millrace.fs import SharedFiles
 from millrace.operators import PointIndex, cdc
 from millrace.plans import jobs
@@ -573,3 +576,31 @@ def test_scratch_can_be_dropped(spark, tmp_path, monkeypatch):
     assert (tmp_path / "scratch").exists()
     session.drop_scratch(spark)
     assert not (tmp_path / "scratch").exists()
+
+
+def test_a_large_batch_is_in_several_files_and_still_one_batch(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "_FILE_BYTES", 4000)
+    monkeypatch.setattr(streams, "scratch_path", lambda _, label: str(tmp_path / label))
+    data = [(n, n % 3 if n % 50 else 3, f"text {n * n}") for n in range(1, 3000)]  # the last batch has few rows
+    df = rows([*data, (0, None, "in no batch")], "n int, k int, text string").repartition(3)
+    stream, seen = streams.in_batches(df, F.col("k"), 5, str(tmp_path)), []
+    batches = stream.writeStream.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+    batches.foreachBatch(lambda batch, k: seen.append(sorted(map(tuple, batch.collect())))).start().awaitTermination()
+    assert seen == [sorted(r for r in data if r[1] == k) for k in range(5)]
+    files = [len(list((tmp_path / "in" / f"batch={k}").glob("*.parquet"))) for k in range(5)]
+    assert len(set(files)) == 1 and files[0] > 2
+
+
+def test_changes_in_several_files_are_merged_in_their_order(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "_FILE_BYTES", 2000)
+    orders = rows(
+        [(n, n % 5, "FOP"[n % 3], n * 1.5, n * 86400 % 999_983, "1-URGENT") for n in range(400)],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, s long, o_orderpriority string",
+    ).withColumn("o_orderdate", F.timestamp_seconds("s").cast("timestamp_ntz")).drop("s")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    rows([(1, "a", "b", "PROMO", 5)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    rows([(0, "x", 0)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(str(tmp_path / "nation.parquet"))
+    db = duckdb.connect()
+    for table in ("orders", "part", "nation"):
+        db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    assert differences(QUERIES["stream_dim_upsert"](spark, str(tmp_path)), db, ORACLES["stream_dim_upsert"]) == ""
