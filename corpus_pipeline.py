@@ -22,7 +22,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.near_dedup(docs)
+    return simhash.near_dedup(docs, marks=True)
 
 
 def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

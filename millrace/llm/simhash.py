@@ -193,18 +193,35 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return marked.join(named, "fp").select(id_col, "fp", "component_id")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _links_of_marks(marked: DataFrame) -> DataFrame:
+    """Links (a, b) between the ``fp`` of rows whose fingerprints ``mark`` are equal or linked, as a star for each component."""
+    pairs = materialize(marked.select("fp", "mark").distinct(), "marks")
+    roots = components(links(pairs.select("mark").distinct(), "mark")).withColumnRenamed("node", "mark")
+    named = pairs.join(roots, "mark", "left").select("fp", F.coalesce("root", "mark").alias("root"))
+    least = named.groupBy("root").agg(F.min("fp").alias("a"), F.max("fp").alias("last")).filter("a < last").select("root", "a")
+    # Stored, as the first texts of bands are: the join can split a hot root then.
+    return named.join(materialize(least, "stars"), "root").select("a", F.col("fp").alias("b")).filter("a <> b")
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, marks: bool = False) -> DataFrame:
     """The documents, all columns, one of each component of texts whose 5-word shingles are similar to 0.8 or more: that
     with the smallest id.
 
-    This is not the three bits of :func:`classes`: texts of similarity 0.8 differ in some ten of 64 bits, and blocks for so
-    many would have four bits or fewer. See :mod:`.near`. If several have that id, one of those with the smallest name of a
+    With ``marks`` texts are linked as well where their fingerprints are, as in :func:`classes`, and a component may have links
+    of both kinds. Three bits alone do not find all similar texts: at 0.8 some ten of 64 bits differ, and blocks for so many
+    would have four bits or fewer. See :mod:`.near`. If several have the smallest id, one of those with the smallest name of a
     shingle set among them stays.
     """
     names = [f"c{k}" for k in range(len(docs.columns))]  # clashes with no working column
     key, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
-    marked = materialize(near.with_bands(docs.toDF(*names), text), "shingles")
-    stays = _classified(marked.select(F.col(key).alias("id"), "fp"), "id", lambda _: near.links(marked, text))
+    banded = near.with_bands(docs.toDF(*names), text)
+    marked = materialize(with_fingerprints(banded, text, "mark") if marks else banded, "shingles")
+
+    def linked(_: DataFrame) -> DataFrame:
+        found = near.links(marked, text)
+        return found.unionByName(_links_of_marks(marked)) if marks else found
+
+    stays = _classified(marked.select(F.col(key).alias("id"), "fp"), "id", linked)
     stays = stays.select("least.*").distinct()
     name = F.coalesce(F.concat(F.lit("v"), F.col("id").cast("string")), F.lit("none"))
     named = marked.select(*names, "fp").withColumn("id", F.col(key)).withColumn("name", name)

@@ -1,9 +1,11 @@
 import random
 import re
 
+import corpus_pipeline
 import numpy as np
 import xxhash
 from edge import empty_docs, edge_docs
+from test_near import plain_set
 
 from millrace.llm import simhash as S
 from millrace.llm.components import components
@@ -113,3 +115,30 @@ def test_registered_query_against_plain(spark):
         least.setdefault(of[fp], key)
     got = QUERIES["op5_simhash"](spark, "/root/testdata/sf0.001").collect()
     assert {tuple(r) for r in got} == {(k, f"{fp:016x}", least[of[fp]]) for k, fp in fps.items()}
+
+
+def test_near_dedup_by_fingerprints_and_by_similarity(spark):
+    """A and B are linked by three bits alone, B and C by similarity alone: one component, of which A stays."""
+    rng = random.Random(3)
+    differ = lambda a, b: (S.fingerprint(a) ^ S.fingerprint(b)).bit_count()
+    alike = lambda a, b: 5 * len(plain_set(a) & plain_set(b)) >= 4 * len(plain_set(a) | plain_set(b))
+
+    def changed(words, at):
+        return " ".join(f"y{rng.randrange(10**6)}" if k in at else w for k, w in enumerate(words))
+
+    for _ in range(20_000):
+        # A phrase said again and again outweighs the rest in the fingerprint, and is few shingles of the set.
+        words = ["so", "it", "goes"] * 40 + [f"w{rng.randrange(10**6)}" for _ in range(24)]
+        a, b = " ".join(words), changed(words, {125, 132, 139})
+        if differ(a, b) <= 3 and not alike(a, b):
+            break
+    else:
+        raise AssertionError("no such texts")
+    other = " ".join(f"z{k}" for k in range(50))
+    docs = spark.createDataFrame([(1, a), (2, b), (3, other)], "doc_id long, text string")
+    ids = lambda df: sorted(r["doc_id"] for r in df.collect())
+    assert ids(S.near_dedup(docs)) == [1, 2, 3]
+    assert ids(corpus_pipeline.distinct(spark, docs, "")) == [1, 3]
+    c = changed(b.split(), {143})
+    assert alike(b, c)
+    assert ids(corpus_pipeline.distinct(spark, docs.union(spark.createDataFrame([(4, c)], docs.schema)), "")) == [1, 3]
