@@ -12,10 +12,13 @@ from ..operators.cdc import latest_dim_columns
 from ..operators.joins import BROADCAST_BYTES, fits_broadcast, measured_bytes
 from ..session import scratch
 from .once import job_id
-from .parts import PartedTable, held_bytes
+from .parts import MEMBER, PartedTable, held_bytes
 
 _MERGE = "_merge"  # the job that compacts
 
+# Buckets made for less than this share a folder, and with it a file, with the buckets next to them.
+_FOLDER_BYTES = 8 * 1024 * 1024
+
 
 def bucket_of(hashed: Column, count: int) -> Column:
     """Linear hashing: with ``count`` buckets, those beyond the last power of two have split off from their lower twins."""
@@ -33,12 +36,13 @@ def _twin(bucket: int) -> int:
 class DimensionStore:
     """Dimension tables, all columns text, one row per key, in hash buckets of the key.
 
-    An upsert reads nothing: it appends its rows as sorted delta files, one for each bucket that its keys are in. Readers merge a
+    An upsert reads nothing: it appends its rows as sorted delta files for the buckets that its keys are in. Readers merge a
     table's base files with the deltas since; the last arrival wins, column by column: a batch replaces what it gives, and
     keeps stored columns that its configuration does not name; among the changes of one batch the latest counts. A bucket
     whose deltas have grown beyond ``delta_share`` of its base and ``delta_bytes``, or are more than ``delta_files``, is
     merged into a new base. As the table grows, buckets split, so that one holds about ``bucket_bytes``; splitting a bucket
-    rewrites that bucket alone. So what a batch writes follows from its own size, and over time each row is rewritten a number
+    rewrites that bucket alone. Buckets of less than 8 MB lie many to a file, so that a table has files by its bytes and not by
+    its buckets; a reader of one of them passes over the others in its file. So what a batch writes follows from its own size, and over time each row is rewritten a number
     of times that does not depend on the number of batches.
 
     The commit log says which files count. A replayed batch of the same streaming query does nothing. Versions that nothing
@@ -152,8 +156,12 @@ class DimensionStore:
     def _write(
         self, table: str, state: dict, rows: DataFrame, kind: str, replaces: Iterable[str], job: str, batch: int, columns: list[str], count: int
     ) -> None:
-        pk = columns[0]
-        laid = rows.withColumn("bucket", bucket_of(F.xxhash64(pk), count)).repartition("bucket").sortWithinPartitions("bucket", pk)
+        pk, together = columns[0], max(1, _FOLDER_BYTES // self.bucket_bytes)
+        laid = rows.withColumn("bucket", bucket_of(F.xxhash64(pk), count))
+        if together > 1:
+            laid = laid.withColumn(MEMBER, F.col("bucket")).withColumn("bucket", F.col(MEMBER) - F.col(MEMBER) % together)
+        order = [c for c in ("bucket", MEMBER, pk) if c in laid.columns]
+        laid = laid.repartition("bucket").sortWithinPartitions(*order)
         self.parts(table).write(state, laid, kind, replaces, job, batch, self.keep_seconds, columns=columns, count=count)
 
     def compact(self, table: str) -> list[str]:

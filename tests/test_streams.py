@@ -243,6 +243,35 @@ def test_merging_and_splitting_against_a_plain_table(spark, rows, tmp_path):
     assert there == set(store.versions(C.DIM_SONG))  # nothing else is left
 
 
+def test_small_buckets_share_files(spark, tmp_path):
+    """Hundreds of buckets lie in two files, and one of them is still merged alone."""
+    options = {"keep_seconds": 0, "delta_bytes": 10 ** 9, "delta_files": 1}
+    small, large = (DimensionStore(spark, str(tmp_path), bucket_bytes=n, **options) for n in (40_000, 16_000_000))
+    many = spark.range(120_000).select(F.col("id").cast("string").alias("source_id"), F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    small.put(many, C.DIM_SONG, "source_id")
+    files = lambda: list((tmp_path / C.DIM_SONG).glob("batch=*/bucket=*/part-*.parquet"))
+    state = small.state(C.DIM_SONG)
+    count = state["facts"]["count"]
+    assert 209 < count == len(state["base"]) and len(files()) == 2
+    sizes, written = [p[1] for p in state["base"].values()], sum(f.stat().st_size for f in files())
+    assert written - count < sum(sizes) <= written and max(sizes) < 3 * min(sizes)
+    some = lambda n: spark.createDataFrame([("7", f"new {n}"), ("8", None), (f"key {n}", "x")], "source_id string, name string")
+    # Small files and files of one bucket each lie side by side; then the buckets with two deltas are merged, and nothing else.
+    small.put(some(1), C.DIM_SONG, "source_id", 1)
+    assert len(files()) <= 4
+    large.put(some(2), C.DIM_SONG, "source_id", 2)
+    state = small.state(C.DIM_SONG)
+    moved = {b for b, part in state["base"].items() if part[0] != 0}
+    assert 1 <= len(moved) <= 2 and len(state["base"]) == count and not moved & {b for b, p in state["deltas"].items() if p}
+    for store in (small, large):
+        got = store.read(C.DIM_SONG)
+        assert got.count() == got.select("source_id").distinct().count() == 120_002
+        assert {tuple(r) for r in got.join(many, ["source_id", "name"], "left_anti").collect()} == {("7", "new 2"), ("8", None), ("key 1", "x"), ("key 2", "x")}
+    next((tmp_path / C.DIM_SONG).glob("batch=0/bucket=0/part-*.parquet")).unlink()
+    with pytest.raises(LostFiles):
+        small.read(C.DIM_SONG)
+
+
 def test_rows_find_the_bucket_they_were_written_to(spark):
     """A split moves rows of one bucket only, and into its twin."""
     hashed = spark.range(500).select(F.xxhash64("id").alias("h"))
