@@ -178,7 +178,8 @@ def find_runs(texts: list[np.ndarray]) -> list[np.ndarray]:
     chunks = [[], []]
     for period, place in candidates(sequence, int(sizes.max())):
         owner = np.searchsorted(begins, place, side="right") - 1
-        fits = period * POWER <= sizes[owner]
+        # The four words must be of one text: the grids go on over marks, and the next texts may be left out of the grammar.
+        fits = (period * POWER <= sizes[owner]) & (place + (POWER - 1) * period < begins[owner] + sizes[owner])
         chunks[0].append(period[fits])
         chunks[1].append(place[fits])
     if not sum(map(len, chunks[1])):

@@ -101,6 +101,28 @@ def test_words_that_repeat_everywhere_stay_cheap():
     assert len(periodic.Grammar(np.array([7, *text, 8])).levels) < 80
 
 
+def test_equal_words_across_texts():
+    # On the grid of multiples of 3, the last word of the first text and three of the next one are equal; no text has a run.
+    texts = [np.array([*range(10, 21), 9]), np.array([30, 9, 31, 32, 9, 33, 34, 9])]
+    assert [len(runs) for runs in periodic.find_runs(texts)] == [0, 0]
+    rng = random.Random(3)
+    for _ in range(60):
+        # Words that stand once but for one that is frequent, so that most texts have no four equal words of their own.
+        texts = [np.where(np.array([rng.random() < 0.3 for _ in range(n)]), 0, np.arange(n) + 1000 * k + 1) for k, n in
+                 enumerate(rng.choices(range(6, 60), k=rng.randrange(2, 8)), 1)]
+        texts[0][:8] = 5
+        got = periodic.find_runs(texts)
+        assert [list(map(tuple, runs.tolist())) for runs in got] == [sorted(plain_runs(t.tolist()), key=lambda r: (r[0], r[2])) for t in texts]
+
+
+def test_documents_with_equal_words_across_texts(spark):
+    first = " ".join([*(f"a{k}" for k in range(11)), "the"])
+    rows = [(3, "c0 c0 c0 c0 c0 c0 c1 c2"), (1, first), (2, "b0 the b1 b2 the b3 b4 the")]
+    got = {r["doc_id"]: r for r in periodic.periodic_runs(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert [(got[k]["n_words"], got[k]["runs"]) for k in (1, 2)] == [(12, []), (8, [])] and got[1]["collapsed"] == first
+    assert [tuple(r) for r in got[3]["runs"]] == [(0, 6, 1)] and got[3]["collapsed"] == "c0 c1 c2"
+
+
 @pytest.mark.parametrize("size", [2 << 20, 3000])
 def test_query_against_all_periods(spark, monkeypatch, size):
     monkeypatch.setattr(periodic, "SLICE_BYTES", size)
